@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.labels import (
+    attend_through,
     bind,
-    keep_spans,
+    keep_through,
     labels_of,
-    last_kept,
-    marker_ends,
+    last_other,
+    mask_answers,
     pad_right,
-    restore_eos_attention,
-    restore_eos_labels,
-    token_ends,
 )
 
 
@@ -43,28 +41,24 @@ def collate_causal(
     return padded.withColumn("labels", labels_of(F.col("input_ids"), pad_id))
 
 
-def _restored(labels: Column, attention: Column, eos_id: int, pad_id: int) -> Column:
-    """``labels, attention`` with the end-of-sequence tokens that padding has hidden."""
-
-    def both(labels: Column, attention: Column) -> Column:
-        return F.struct(labels.alias("labels"), attention.alias("attention"))
+def restore_eos(df: DataFrame, eos_id: int, pad_id: int) -> DataFrame:
+    """Undo the masking of real end-of-sequence tokens where they double as padding.
 
+    ``df`` is a collated batch.  The hidden tokens up to one past the last other id come back;
+    a row of nothing but that token is left as it is.
+    """
     if eos_id != pad_id:
-        return both(labels, attention)
-    return bind(
-        last_kept(labels),
-        lambda last: both(
-            restore_eos_labels(labels, last, eos_id),
-            restore_eos_attention(attention, labels, last),
+        return df
+    ids, attention = F.col("input_ids"), F.col("attention_mask")
+    restored = bind(
+        last_other(ids, eos_id),
+        lambda last: F.struct(
+            keep_through(ids, last).alias("labels"),
+            attend_through(attention, last).alias("attention"),
         ),
     )
-
-
-def restore_eos(df: DataFrame, eos_id: int, pad_id: int) -> DataFrame:
-    """Undo the masking of real end-of-sequence tokens where they double as padding."""
-    both = _restored(F.col("labels"), F.col("attention_mask"), eos_id, pad_id)
     return (
-        df.withColumn("_row", both)
+        df.withColumn("_row", restored)
         .withColumns({"attention_mask": F.col("_row.attention"), "labels": F.col("_row.labels")})
         .drop("_row")
     )
@@ -73,28 +67,15 @@ def restore_eos(df: DataFrame, eos_id: int, pad_id: int) -> DataFrame:
 def response_mask(
     df: DataFrame, marker: Sequence[int], eos_id: int, pad_id: int, skip_mismatched: bool = False
 ) -> DataFrame:
-    """Keep only answer labels: after each marker, through the end-of-sequence token paired with it.
+    """Keep only answer labels of a collated batch, end tokens restored as in ``restore_eos``.
 
-    ``df`` is a collated batch.  ``well_formed`` tells whether markers and ends pair up; rows
-    where they do not are dropped if ``skip_mismatched``, else masked by the pairs there are.
+    ``well_formed`` tells whether markers and ends pair up; rows where they do not are dropped
+    if ``skip_mismatched``, else masked by the pairs there are.
     """
-
-    def spans(row: Column) -> Column:
-        found = F.struct(
-            marker_ends(row["labels"], marker).alias("starts"),
-            token_ends(row["labels"], eos_id).alias("ends"),
-        )
-        return bind(
-            found,
-            lambda f: F.struct(
-                row["attention"].alias("attention"),
-                keep_spans(row["labels"], f["starts"], f["ends"]).alias("labels"),
-                (F.size(f["starts"]) == F.size(f["ends"])).alias("well_formed"),
-            ),
-        )
-
-    restored = _restored(F.col("labels"), F.col("attention_mask"), eos_id, pad_id)
-    masked = df.withColumn("_row", bind(restored, spans))
+    row = mask_answers(
+        F.col("input_ids"), F.col("attention_mask"), marker, eos_id, pad_id, skip_mismatched
+    )
+    masked = df.withColumn("_row", row)
     if skip_mismatched:
         masked = masked.where("_row.well_formed")
     return masked.withColumns(

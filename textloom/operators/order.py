@@ -6,7 +6,7 @@ Row order carries meaning here (head splits, batches, ties), so it is a column:
 * ``file_position``   rows keep the order of the files they were read from; no shuffle.
 * dense integer key   ``pos = key - min(key)`` once the key is proven dense; no shuffle.
 * anything else       the keys alone are range-partitioned by the full sort key and written
-  to the shared folder.  Per-range totals are the only thing that passes through the driver.
+  to the shared folder.  The driver sees two totals per range and nothing else.
 
 Ranges follow the unique sort key, so a value that holds a third of all rows is spread over
 as many ranges as its rows need.
@@ -62,8 +62,8 @@ def running_total(
 ) -> DataFrame:
     """``parts + order + name``: the sum of ``value`` over all earlier rows of the part.
 
-    ``whole`` names a further column for the sum over the whole part.  ``order`` must be unique within a part.  Parts are few (splits) or large; every part may
-    hold any share of the rows.
+    ``whole`` names a further column for the sum over the whole part.  ``order`` must be unique
+    within a part.  There may be any number of parts, of any size.
     """
     order, parts = _names(order), list(parts)
     spark = df.sparkSession
@@ -76,40 +76,49 @@ def running_total(
         ),
         "order",
     )
-    totals = ranged.groupBy(*parts, "_range").agg(F.sum("_value").alias("_total"))
-    inner = Window.partitionBy(*parts, "_range").orderBy(*sort).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        ranged.join(_bases(totals, parts), [*parts, "_range"])
-        .withColumn(name, F.col("_base") + F.sum("_value").over(inner) - F.col("_value"))
-        .select(*parts, *order, name, *([F.col("_whole").alias(whole)] if whole else []))
-    )
+    here = Window.partitionBy(*parts, "_range")
+    upto = here.orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_value").over(upto) - F.col("_value")
+    placed = ranged.join(F.broadcast(_carried(ranged, parts)), [*parts, "_range"], "left")
+    columns = [*parts, *order, (F.coalesce("_base", F.lit(0)) + before).alias(name)]
+    if whole:
+        columns.append(F.coalesce("_whole", F.sum("_value").over(here)).alias(whole))
+    return placed.select(*columns)
+
 
+def _carried(ranged: DataFrame, parts: list[str]) -> DataFrame:
+    """``parts, _range, _base, _whole`` for the parts that reach over a border of ranges.
 
-def _bases(totals: DataFrame, parts: list[str]) -> DataFrame:
-    """Exclusive prefix sums and part sums of the range totals: at most ranges + parts rows."""
-    head = totals.take(MAX_DRIVER_ROWS + 1)
-    if len(head) > MAX_DRIVER_ROWS:
-        before = Window.partitionBy(*parts).orderBy("_range").rowsBetween(
-            Window.unboundedPreceding, -1
+    Ranges are contiguous, so only the first and the last part of a range can do so: the driver
+    sees two totals per range and returns at most two rows per range.
+    """
+    totals = ranged.groupBy(*parts, "_range").agg(F.sum("_value").alias("_total"))
+    edges = (
+        totals.groupBy("_range")
+        .agg(
+            F.min(F.struct(*parts, "_total")).alias("first"),
+            F.max(F.struct(*parts, "_total")).alias("last"),
         )
-        base = F.coalesce(F.sum("_total").over(before), F.lit(0).cast("long"))
-        part_sum = F.sum("_total").over(Window.partitionBy(*parts))
-        return totals.select(*parts, "_range", base.alias("_base"), part_sum.alias("_whole"))
-    seen: dict[tuple, int] = {}
+        .orderBy("_range")
+        .collect()
+    )
+    pieces: dict[tuple, list[tuple[int, int]]] = {}
+    for edge in edges:
+        for row in {edge["first"], edge["last"]}:
+            pieces.setdefault(tuple(row)[:-1], []).append((edge["_range"], row["_total"]))
     rows = []
-    for row in sorted(head, key=lambda r: r["_range"]):
-        part = tuple(row[c] for c in parts)
-        rows.append((*part, row["_range"], seen.get(part, 0)))
-        seen[part] = seen.get(part, 0) + row["_total"]
-    rows = [(*row, seen[row[: len(parts)]]) for row in rows]
+    for part, totals_of in pieces.items():
+        if len(totals_of) > 1:
+            base, all_of = 0, sum(t for _, t in totals_of)
+            for number, total in totals_of:
+                rows.append((*part, number, base, all_of))
+                base += total
     schema = T.StructType(
-        [totals.schema[c] for c in parts]
+        [T.StructField(c, ranged.schema[c].dataType) for c in parts]
         + [T.StructField("_range", T.IntegerType())]
         + [T.StructField(c, T.LongType()) for c in ("_base", "_whole")]
     )
-    return F.broadcast(totals.sparkSession.createDataFrame(rows, schema))
+    return ranged.sparkSession.createDataFrame(rows, schema)
 
 
 def global_position(

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.labels import list_offsets, to_lists
 from textloom.functions.text import lex, lexer_pattern
 from textloom.operators.order import global_position
 
@@ -139,14 +139,7 @@ def _lookup(shared, missing: int):
             count=len(distinct.dictionary),
         )
         flat = table[distinct.indices.to_numpy(zero_copy_only=False)]
-        # The lengths of null lists are 0, so the offsets hold for them too.
-        lengths = pc.fill_null(pc.list_value_length(tokens), 0)
-        offsets = np.concatenate(([0], np.cumsum(lengths.to_numpy(zero_copy_only=False))))
-        return pa.ListArray.from_arrays(
-            pa.array(offsets, type=pa.int32()),
-            pa.array(flat, type=pa.int32()),
-            mask=tokens.is_null() if tokens.null_count else None,
-        )
+        return to_lists(list_offsets(tokens)[0], flat, tokens.is_null() if tokens.null_count else None)
 
     return ids
 
@@ -182,15 +175,10 @@ def resolve_tail(
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _scatter(ids: pa.Array, at: pa.Array, found: pa.Array, unk: pa.Array) -> pa.Array:
-    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    offsets, _ = list_offsets(ids)
     flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
-    counts = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
+    _, counts = list_offsets(at)
     where = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
     flat[where] = found.flatten().to_numpy(zero_copy_only=False)
     flat[flat == -1] = unk[0].as_py() if len(unk) else 0
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, type=pa.int32()),
-        pa.array(flat, type=pa.int32()),
-        mask=ids.is_null() if ids.null_count else None,
-    )
+    return to_lists(offsets, flat, ids.is_null() if ids.null_count else None)

@@ -9,6 +9,7 @@ from textloom.operators.order import global_position
 from textloom.operators.split import head_percent_split, with_validation
 from textloom.operators.tokens import tokenize
 from textloom.operators.vocab import Vocabulary
+from textloom.sources.readers import spread
 from textloom.sources.scratch import materialise
 
 
@@ -53,7 +54,7 @@ def prepare_corpus(
     num_shards: int = 1,
     add_bos: bool = False,
 ) -> DataFrame:
-    """Blocks of a raw corpus: ``split, batch_id, block_id, input_ids, labels``."""
-    rows = split_corpus(df, key, pct, use_presplit)
+    """Blocks of a corpus as it was read: ``split, batch_id, block_id, input_ids, labels``."""
+    rows = spread(split_corpus(df, key, pct, use_presplit), df, key)
     tokens = token_batches(rows, vocab, text, batch_size, num_shards, add_bos)
     return group_texts(tokens, block_size, batch_size)

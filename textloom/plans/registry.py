@@ -72,6 +72,12 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, spread over all cores if they come in few input splits."""
+    docs = documents(spark, sf)
+    return readers.spread(docs, docs, "doc_id")
+
+
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/conversations.parquet")
 
@@ -81,12 +87,20 @@ def split_documents(spark: SparkSession, sf: str) -> DataFrame:
     return P.head_percent_split(G.global_position(docs, "doc_id"), 5, total=docs.count())
 
 
+def split_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.spread(split_documents(spark, sf), documents(spark, sf), "doc_id")
+
+
 def dialogs(spark: SparkSession, sf: str) -> DataFrame:
     return D.turns_to_dialog(conversations(spark, sf))
 
 
-def split_dialogs(spark: SparkSession, sf: str) -> DataFrame:
-    return P.head_percent_split(G.global_position(dialogs(spark, sf), "conv_id"), 5)
+def split_dialogs(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+    """Dialogs with split and position; unless ``whole``, only the turns a sample can reach."""
+    turns = conversations(spark, sf)
+    if not whole:
+        turns = D.first_turns(turns, MAX_LENGTH)
+    return P.head_percent_split(G.global_position(D.turns_to_dialog(turns), "conv_id"), 5)
 
 
 _made: dict[tuple, object] = {}
@@ -102,7 +116,7 @@ def once(spark: SparkSession, name: str, sf: str, make: Callable[[], object]) ->
 
 def full_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
     def make():
-        return V.Vocabulary(materialise(V.build_vocab(documents(spark, sf)), "vocabulary"))
+        return V.Vocabulary(materialise(V.build_vocab(texts(spark, sf)), "vocabulary"))
 
     return once(spark, "full", sf, make)
 
@@ -124,14 +138,15 @@ def chat_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
     return once(spark, "chat", sf, make)
 
 
-def packed(spark: SparkSession, sf: str) -> tuple[DataFrame, chat.Packed]:
-    rows = split_dialogs(spark, sf)
-    return rows, chat.pack_conversations(rows, MAX_LENGTH, SYSTEM_PROMPT, SPECIALS)
+def packed(spark: SparkSession, sf: str) -> chat.Packed:
+    return chat.pack_conversations(
+        split_dialogs(spark, sf), MAX_LENGTH, SYSTEM_PROMPT, SPECIALS
+    )
 
 
 def doc_tokens(spark: SparkSession, sf: str, batch_size: int | None = BATCH_SIZE) -> DataFrame:
     return corpus.token_batches(
-        split_documents(spark, sf), doc_vocab(spark, sf), batch_size=batch_size
+        split_texts(spark, sf), doc_vocab(spark, sf), batch_size=batch_size
     )
 
 
@@ -341,7 +356,7 @@ def global_position(spark, sf):
 
 @query
 def token_offsets(spark, sf):
-    rows = split_documents(spark, sf)
+    rows = split_texts(spark, sf)
     lengths = rows.select(
         "split", "pos", K.token_length(F.col("text"), SPECIALS).alias("length")
     )
@@ -410,7 +425,7 @@ def dialog_sizes(spark, sf):
 
 @query
 def build_vocab(spark, sf):
-    return V.build_vocab(documents(spark, sf)).select("token", "n", F.col("id").cast("long").alias("id"))
+    return V.build_vocab(texts(spark, sf)).select("token", "n", F.col("id").cast("long").alias("id"))
 
 
 def _token_digest(df: DataFrame) -> DataFrame:
@@ -422,7 +437,7 @@ def _token_digest(df: DataFrame) -> DataFrame:
 @query
 def tokenize_docs(spark, sf):
     return _token_digest(
-        K.tokenize(documents(spark, sf), full_vocab(spark, sf), keep=["doc_id"])
+        K.tokenize(texts(spark, sf), full_vocab(spark, sf), keep=["doc_id"])
     )
 
 
@@ -430,7 +445,7 @@ def tokenize_docs(spark, sf):
 def tokenize_truncated(spark, sf):
     return _token_digest(
         K.tokenize(
-            documents(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], max_length=TRUNCATE_AT
+            texts(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], max_length=TRUNCATE_AT
         )
     )
 
@@ -438,7 +453,7 @@ def tokenize_truncated(spark, sf):
 @query
 def tokenize_with_bos(spark, sf):
     return _token_digest(
-        K.tokenize(documents(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], add_bos=True)
+        K.tokenize(texts(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], add_bos=True)
     )
 
 
@@ -520,31 +535,31 @@ def length_rank(spark, sf):
 
 @query
 def pack_dialogs(spark, sf):
-    return packed(spark, sf)[1].packs.withColumn("length", F.col("length").cast("long"))
+    return packed(spark, sf).packs.withColumn("length", F.col("length").cast("long"))
 
 
 @query
 def merge_packs(spark, sf):
-    rows, done = packed(spark, sf)
-    return C.merge_packs(rows, done.packs).select(
+    rows = split_dialogs(spark, sf, whole=True)
+    return C.merge_packs(rows, packed(spark, sf).packs).select(
         "split", "pack_id", digest_dialog(F.col("dialog")).alias("dialog_md5"), size_of("dialog").alias("turns")
     )
 
 
 @query
 def pack_violations(spark, sf):
-    return C.pack_violations(packed(spark, sf)[1].packs, MAX_LENGTH)
+    return C.pack_violations(packed(spark, sf).packs, MAX_LENGTH)
 
 
 @query
 def pack_coverage(spark, sf):
-    done = packed(spark, sf)[1]
+    done = packed(spark, sf)
     return C.pack_coverage(done.lengths, done.packs)
 
 
 @query
 def pack_report(spark, sf):
-    report = C.pack_report(packed(spark, sf)[1].packs, MAX_LENGTH)
+    report = C.pack_report(packed(spark, sf).packs, MAX_LENGTH)
     return report.withColumn("fill_ratio", F.round("fill_ratio", 6))
 
 
@@ -560,7 +575,7 @@ def chat_samples(spark, sf):
 
 @query
 def collate_causal(spark, sf):
-    tokens = K.tokenize(split_documents(spark, sf), doc_vocab(spark, sf), max_length=BLOCK_SIZE)
+    tokens = K.tokenize(split_texts(spark, sf), doc_vocab(spark, sf), max_length=BLOCK_SIZE)
     return batch_digest(L.collate_causal(tokens, TRAIN_BATCH, SPECIALS.pad_id))
 
 
@@ -595,7 +610,7 @@ def mismatch_counts(spark, sf):
 
 @query
 def perplexity_by_lang(spark, sf):
-    scored = M.unigram_losses(documents(spark, sf), "lang")
+    scored = M.unigram_losses(texts(spark, sf), "lang")
     return M.perplexity_by(scored, "lang").withColumn("perplexity", F.round("perplexity", 4))
 
 

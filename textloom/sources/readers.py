@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.order import global_position
+from textloom.sources.scratch import materialise
+
+READ_ORDER = ["_file", "_block", "_line"]
+
 # The file formats that can be told by their extension.
 EXTENSIONS = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text", "parquet": "parquet"}
 
@@ -34,11 +39,13 @@ def load_files(
     validation: str | None = None,
     schema: str | None = None,
     keep_linebreaks: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Training and validation files as one table with a ``split`` column.
 
     The format follows the extension of the training file, else of the validation file.  A
-    CSV cell may span lines; a text file gives one row per line.
+    CSV cell may span lines; a text file gives one row per line.  ``ordered`` adds ``pos``, the
+    position in the order of the files and of the rows within them.
     """
     files = {"train": train, "validation": validation}
     given = {split: path for split, path in files.items() if path is not None}
@@ -47,25 +54,53 @@ def load_files(
     kind = file_format(next(iter(given.values())))
     merged = None
     for split, path in given.items():
-        df = _read(spark, kind, path, schema, keep_linebreaks).withColumn("split", F.lit(split))
+        df = _read(spark, kind, path, schema, keep_linebreaks, ordered)
+        df = df.withColumn("split", F.lit(split))
         merged = df if merged is None else merged.unionByName(df)
-    return merged
+    if not ordered:
+        return merged
+    # The order columns hold for one scan only, so the rows are written before they are ranked.
+    return global_position(
+        materialise(merged, "files"), READ_ORDER, parts=["split"]
+    ).drop(*READ_ORDER)
 
 
 def _read(
-    spark: SparkSession, kind: str, path: str, schema: str | None, keep_linebreaks: bool
+    spark: SparkSession,
+    kind: str,
+    path: str,
+    schema: str | None,
+    keep_linebreaks: bool,
+    ordered: bool,
 ) -> DataFrame:
     reader = spark.read if schema is None or kind == "text" else spark.read.schema(schema)
     if kind == "csv":
-        return reader.csv(path, header=True, multiLine=True, escape='"', quote='"')
-    if kind == "json":
-        return reader.json(path)
-    if kind == "text":
-        lines = reader.text(path)
-        return lines.withColumn("value", F.concat("value", F.lit("\n"))).toDF(
-            "text"
-        ) if keep_linebreaks else lines.toDF("text")
-    return reader.parquet(path)
+        df = reader.csv(path, header=True, multiLine=True, escape='"', quote='"')
+    elif kind == "json":
+        df = reader.json(path)
+    elif kind == "text":
+        df = reader.text(path).withColumnRenamed("value", "text")
+    else:
+        df = reader.parquet(path)
+    if ordered:
+        # Within a block of a file the ids ascend; they order rows and are no positions.
+        places = ["_metadata.file_path", "_metadata.file_block_start"]
+        values = [*map(F.col, places), F.monotonically_increasing_id()]
+        df = df.withColumns(dict(zip(READ_ORDER, values)))
+    if kind == "text" and keep_linebreaks:
+        df = df.withColumn("text", F.concat("text", F.lit("\n")))
+    return df
+
+
+def spread(df: DataFrame, scan: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute the rows of a small table before CPU-heavy work.
+
+    ``scan`` is the table as it was read.  With two input splits per core or more, nothing is
+    moved; a table of few splits would leave most cores idle.
+    """
+    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if splits >= wanted else df.repartition(wanted, *keys)
 
 
 def load_prepared(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
