@@ -76,9 +76,10 @@ def render_prompt(
 def human_size(size: Column) -> Column:
     """``0B``, else the size in the largest fitting unit with at most two decimals.
 
-    Hundredths are counted in exact decimal arithmetic and rounded half to even.
+    ``size`` is an integer or decimal column.  Hundredths are counted in exact decimal
+    arithmetic and rounded half to even.
     """
-    exact = size.cast("double").cast("decimal(30,0)")
+    exact = size.cast("decimal(30,0)")
     powers = [F.lit(str(1024**k)).cast("decimal(25,0)") for k in range(len(SIZE_UNITS))]
     power = sum((F.when(exact >= p, 1).otherwise(0) for p in powers[1:]), F.lit(0))
     base = F.element_at(F.array(*powers), power + 1)
