@@ -149,3 +149,7 @@ def to_lists(offsets: np.ndarray, flat: np.ndarray, nulls: pa.Array | None = Non
     return pa.ListArray.from_arrays(
         pa.array(offsets, type=pa.int32()), pa.array(flat, type=pa.int32()), mask=nulls
     )
+
+
+def nulls_of(array: pa.Array) -> pa.Array | None:
+    return array.is_null() if array.null_count else None

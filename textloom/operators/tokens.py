@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from textloom.functions.text import lex_count, system_block
 from textloom.operators.vocab import Specials, Vocabulary, resolve_tail
+from textloom.sources.scratch import materialise
 
 
 def tokenize(
@@ -26,7 +27,8 @@ def tokenize(
     """``keep`` columns and the token ids; all other columns are dropped.
 
     Truncation counts the beginning-of-sequence token and comes before the lookup.  ``keys``
-    (default ``keep``) identify a row; only a vocabulary with a tail needs them.
+    (default ``keep``) identify a row; only a vocabulary with a tail needs them, and it has the
+    ids of its head written once, so that the texts are lexed once.
     """
     tokens = vocab.lex(F.col(text))
     if max_length is not None:
@@ -34,10 +36,9 @@ def tokenize(
     if vocab.tail is None:
         out = df.select(*keep, vocab.head_ids(tokens).alias(name))
     else:
-        both = df.select(*keep, tokens.alias("_tokens")).withColumn(
-            name, vocab.head_ids(F.col("_tokens"))
-        )
-        out = resolve_tail(both, vocab, list(keys or keep), "_tokens", name).select(*keep, name)
+        found = df.select(*keep, vocab.head_ids_and_rest(tokens).alias(name))
+        found = materialise(found, "ids")
+        out = resolve_tail(found, vocab, list(keys or keep), name).select(*keep, name)
     if add_bos:
         bos = F.array(F.lit(vocab.specials.bos_id))
         out = out.withColumn(name, F.concat(bos, F.col(name)))

@@ -7,17 +7,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.labels import list_offsets, to_lists
+from textloom.functions.labels import list_offsets, nulls_of, to_lists
 from textloom.functions.text import lex, lexer_pattern
 from textloom.operators.order import global_position
 
 # The most frequent ids are broadcast; at some 30 bytes each this stays below 10 MB.
 HEAD_TOKENS = 1 << 18
 
+IDS = T.ArrayType(T.IntegerType())
+IDS_AND_REST = T.StructType(
+    [
+        T.StructField("ids", IDS),
+        T.StructField("at", IDS),
+        T.StructField("rest", T.ArrayType(T.StringType())),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Specials:
@@ -92,16 +102,12 @@ class Vocabulary:
     def __init__(self, table: DataFrame, specials: Specials = Specials(), head: int = HEAD_TOKENS):
         self.specials = specials
         self.table = table.select("token", "id")
-        spark = table.sparkSession
         known = self.table.where(F.col("id") < head).toArrow()
-        ids = dict(zip(known["token"].to_pylist(), known["id"].to_pylist()))
-        ids.update((t, i) for i, t in enumerate(specials.tokens))
-        self.tail = None
+        tokens = pa.array(specials.tokens + known["token"].to_pylist(), type=pa.string())
+        ids = np.concatenate((np.arange(len(specials.tokens)), known["id"].to_numpy()))
         tail = self.table.where(F.col("id") >= head)
-        if not tail.limit(1).isEmpty():
-            self.tail = tail
-        self._shared = spark.sparkContext.broadcast(ids)
-        self._lookup = _lookup(self._shared, -1 if self.tail is not None else specials.unk_id)
+        self.tail = None if tail.limit(1).isEmpty() else tail
+        self._head = table.sparkSession.sparkContext.broadcast((tokens, ids.astype(np.int32)))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, **options) -> Vocabulary:
@@ -111,8 +117,12 @@ class Vocabulary:
         return lex(text, self.specials.pattern)
 
     def head_ids(self, tokens: Column) -> Column:
-        """Ids of an array of tokens; with a tail, -1 marks what the head does not know."""
-        return self._lookup(tokens)
+        """Ids of an array of tokens; what the head does not know is the unknown id."""
+        return _ids(self._head, self.specials.unk_id)(_joined(tokens))
+
+    def head_ids_and_rest(self, tokens: Column) -> Column:
+        """``struct<ids, at, rest>``: ids with -1 at the places ``at`` of the tokens ``rest``."""
+        return _ids_and_rest(self._head)(_joined(tokens))
 
     def ids_of(self, text: str) -> list[int]:
         """Ids of one short string, such as a marker, looked up on the driver."""
@@ -126,59 +136,77 @@ class Vocabulary:
         return [found.get(t, self.specials.unk_id) for t in tokens]
 
 
-def _lookup(shared, missing: int):
-    """A vectorised Arrow function: each batch looks its distinct tokens up once."""
+def _joined(tokens: Column) -> Column:
+    """Tokens as one string: no token holds a space, and one string is cheap to hand over."""
+    return F.array_join(tokens, " ")
+
+
+def _split(joined: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets and flat tokens of space-separated rows; empty and null rows have none."""
+    lists = pc.split_pattern(pc.if_else(pc.equal(joined, ""), None, joined), " ")
+    return list_offsets(lists)[0], lists.flatten()
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def ids(tokens: pa.Array) -> pa.Array:
-        known = shared.value
-        distinct = tokens.flatten().dictionary_encode()
-        table = np.fromiter(
-            (known.get(t, missing) for t in distinct.dictionary.to_pylist()),
-            dtype=np.int32,
-            count=len(distinct.dictionary),
-        )
-        flat = table[distinct.indices.to_numpy(zero_copy_only=False)]
-        return to_lists(list_offsets(tokens)[0], flat, tokens.is_null() if tokens.null_count else None)
+
+def _find(flat: pa.Array, head: tuple[pa.Array, np.ndarray], missing: int) -> np.ndarray:
+    tokens, ids = head
+    at = pc.fill_null(pc.index_in(flat, value_set=tokens), len(ids))
+    return np.append(ids, np.int32(missing))[at.to_numpy(zero_copy_only=False)]
+
+
+def _ids(shared, unk: int):
+    @F.arrow_udf(IDS)
+    def ids(joined: pa.Array) -> pa.Array:
+        offsets, flat = _split(joined)
+        return to_lists(offsets, _find(flat, shared.value, unk), nulls_of(joined))
 
     return ids
 
 
-def resolve_tail(
-    df: DataFrame, vocab: Vocabulary, keys: Sequence[str], tokens: str, ids: str
-) -> DataFrame:
-    """Replace the -1 entries of ``ids`` by joining only those tokens with the tail.
+def _ids_and_rest(shared):
+    @F.arrow_udf(IDS_AND_REST)
+    def ids_and_rest(joined: pa.Array) -> pa.Array:
+        offsets, flat = _split(joined)
+        found = _find(flat, shared.value, -1)
+        places = np.flatnonzero(found == -1)
+        row = np.searchsorted(offsets, places, side="right") - 1
+        rest = np.searchsorted(places, offsets)
+        return pa.StructArray.from_arrays(
+            [
+                to_lists(offsets, found, nulls_of(joined)),
+                to_lists(rest, places - offsets[row]),
+                pa.ListArray.from_arrays(pa.array(rest, type=pa.int32()), flat.take(pa.array(places))),
+            ],
+            names=IDS_AND_REST.names,
+        )
+
+    return ids_and_rest
+
+
+def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: str) -> DataFrame:
+    """Ids from a column of ``head_ids_and_rest``, by joining only the rest with the tail.
 
-    ``keys`` identify a row.  What the tail does not hold either becomes the unknown id.
+    ``keys`` identify a row.  What the tail does not hold either becomes the unknown id.  ``df``
+    is read twice: hand over a written table.
     """
-    unk = vocab.specials.unk_id
-    spots = F.filter(
-        F.zip_with(
-            F.transform(tokens, lambda t, i: F.struct(i.alias("at"), t.alias("token"))),
-            F.col(ids),
-            lambda s, v: F.when(v == -1, s),
-        ),
-        lambda s: s.isNotNull(),
-    )
-    found = (
-        df.select(*keys, F.inline(spots))
+    rest = F.arrays_zip(F.col(f"{found}.at").alias("at"), F.col(f"{found}.rest").alias("token"))
+    resolved = (
+        df.select(*keys, F.inline(rest))
         .join(vocab.tail, "token")
         .groupBy(*keys)
         .agg(F.collect_list("at").alias("_at"), F.collect_list("id").alias("_id"))
     )
-    return (
-        df.join(found, list(keys), "left")
-        .withColumn(ids, _scatter(F.col(ids), F.col("_at"), F.col("_id"), F.lit(unk)))
-        .drop("_at", "_id")
-    )
+    ids = _scatter(vocab.specials.unk_id)(F.col(f"{found}.ids"), F.col("_at"), F.col("_id"))
+    return df.join(resolved, list(keys), "left").withColumn(found, ids).drop("_at", "_id")
+
 
+def _scatter(unk: int):
+    @F.arrow_udf(IDS)
+    def scatter(ids: pa.Array, at: pa.Array, found: pa.Array) -> pa.Array:
+        offsets, _ = list_offsets(ids)
+        flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
+        _, counts = list_offsets(at)
+        places = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
+        flat[places] = found.flatten().to_numpy(zero_copy_only=False)
+        return to_lists(offsets, np.where(flat == -1, unk, flat), nulls_of(ids))
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _scatter(ids: pa.Array, at: pa.Array, found: pa.Array, unk: pa.Array) -> pa.Array:
-    offsets, _ = list_offsets(ids)
-    flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
-    _, counts = list_offsets(at)
-    where = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
-    flat[where] = found.flatten().to_numpy(zero_copy_only=False)
-    flat[flat == -1] = unk[0].as_py() if len(unk) else 0
-    return to_lists(offsets, flat, ids.is_null() if ids.null_count else None)
+    return scatter
