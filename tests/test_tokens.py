@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.operators import vocab as vocab_module
 from textloom.operators.tokens import (
     attention_mask,
     encode_batches,
@@ -62,6 +63,18 @@ def test_ids_with_and_without_a_tail(spark, head):
         assert got[pos] == expected, pos
 
 
+@pytest.mark.parametrize("limit", [0, 20, 60])
+def test_frequent_tokens_outside_the_head(spark, monkeypatch, limit):
+    # "hot" is in the tail, "gone" in no vocabulary; both fill many rows.
+    monkeypatch.setattr(vocab_module, "HOT_ROWS", limit)
+    table = spark.createDataFrame([("a", 3), ("hot", 4), ("rare", 5)], "token string, id int")
+    vocab = Vocabulary(table, head=4)
+    texts = ["a hot gone rare" if i % 10 == 0 else "hot gone hot a" for i in range(50)]
+    got = {r.pos: r.input_ids for r in tokenize(corpus(spark, texts), vocab).collect()}
+    ids = {"a": 3, "hot": 4, "rare": 5}
+    assert got == {i: [ids.get(t, 0) for t in text.split()] for i, text in enumerate(texts)}
+
+
 def test_truncation_counts_the_special_token(spark):
     vocab = Vocabulary(build_vocab(corpus(spark)))
     full = {r.pos: r.input_ids for r in tokenize(corpus(spark), vocab, add_bos=True).collect()}

@@ -1 +1,9 @@
 """Corpus preparation on Spark: splits, dialogs, tokens, blocks, packs and label masks."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so that executors do not need this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

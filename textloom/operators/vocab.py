@@ -19,6 +19,11 @@ from textloom.operators.order import global_position
 # The most frequent ids are broadcast; at some 30 bytes each this stays below 10 MB.
 HEAD_TOKENS = 1 << 18
 
+# A token of the tail with more rows than this is not left to one task; the list of such tokens
+# is broadcast while it stays small.
+HOT_ROWS = 5_000_000
+HOT_BYTES = 64 << 20
+
 IDS = T.ArrayType(T.IntegerType())
 IDS_AND_REST = T.StructType(
     [
@@ -188,10 +193,9 @@ def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: s
     ``keys`` identify a row.  What the tail does not hold either becomes the unknown id.  ``df``
     is read twice: hand over a written table.
     """
-    rest = F.arrays_zip(F.col(f"{found}.at").alias("at"), F.col(f"{found}.rest").alias("token"))
+    places = F.arrays_zip(F.col(f"{found}.at").alias("at"), F.col(f"{found}.rest").alias("token"))
     resolved = (
-        df.select(*keys, F.inline(rest))
-        .join(vocab.tail, "token")
+        _join_tail(df.select(*keys, F.inline(places)), vocab.tail)
         .groupBy(*keys)
         .agg(F.collect_list("at").alias("_at"), F.collect_list("id").alias("_id"))
     )
@@ -199,6 +203,22 @@ def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: s
     return df.join(resolved, list(keys), "left").withColumn(found, ids).drop("_at", "_id")
 
 
+def _join_tail(rest: DataFrame, tail: DataFrame) -> DataFrame:
+    """Join tokens with the tail; those that fill too many rows for one task are broadcast.
+
+    A vocabulary of another corpus, or a cut one, may leave a very frequent token to the tail.
+    """
+    hot = rest.groupBy("token").count().where(F.col("count") > HOT_ROWS).select("token").toArrow()
+    if not hot.num_rows:
+        return rest.join(tail, "token")
+    if hot.nbytes > HOT_BYTES:
+        raise ValueError("too many frequent tokens outside the vocabulary's head: raise the head")
+    hot = F.broadcast(rest.sparkSession.createDataFrame(hot))
+    known = F.broadcast(tail.join(hot, "token"))
+    light = rest.join(hot, "token", "left_anti").join(tail, "token")
+    return light.unionByName(rest.join(known, "token"))
+
+
 def _scatter(unk: int):
     @F.arrow_udf(IDS)
     def scatter(ids: pa.Array, at: pa.Array, found: pa.Array) -> pa.Array:
