@@ -29,7 +29,8 @@ def unigram_losses(
     """``group, token, n, nll``: add-one unigram losses, one row per group and distinct token.
 
     Tokens are counted before anything is shuffled by token, so a frequent one costs one row
-    per task; the counts are written once and hold far fewer rows than the corpus has tokens.
+    per task and group; groups are few, such as languages.  The counts are written once and hold
+    far fewer rows than the corpus has tokens.
     """
     counts = (
         df.select(group, F.explode(lex(F.col(text), specials.pattern)).alias("token"))

@@ -40,14 +40,8 @@ def _dense_start(df: DataFrame, key: str) -> int | None:
         return 0
     if keyed != rows or high - low + 1 != rows:
         return None
-    # One bit per key, 32k keys per bitmap: an exact distinct count that shuffles n / 8 bytes.
-    shifted = F.col(key).cast("long") - F.lit(low)
-    distinct = (
-        df.groupBy(F.bitmap_bucket_number(shifted).alias("_bucket"))
-        .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(shifted))).alias("_bits"))
-        .agg(F.sum("_bits"))
-        .first()[0]
-    )
+    # Only the keys are shuffled, and equal ones are counted together before that.
+    distinct = df.agg(F.count_distinct(key)).first()[0]
     return low if distinct == rows else None
 
 
@@ -99,11 +93,10 @@ def _carried(ranged: DataFrame, parts: list[str]) -> DataFrame:
             F.min(F.struct(*parts, "_total")).alias("first"),
             F.max(F.struct(*parts, "_total")).alias("last"),
         )
-        .orderBy("_range")
         .collect()
     )
     pieces: dict[tuple, list[tuple[int, int]]] = {}
-    for edge in edges:
+    for edge in sorted(edges, key=lambda e: e["_range"]):
         for row in {edge["first"], edge["last"]}:
             pieces.setdefault(tuple(row)[:-1], []).append((edge["_range"], row["_total"]))
     rows = []

@@ -19,8 +19,8 @@ from textloom.operators.order import global_position
 # The most frequent ids are broadcast; at some 30 bytes each this stays below 10 MB.
 HEAD_TOKENS = 1 << 18
 
-# A token of the tail with more rows than this is not left to one task; the list of such tokens
-# is broadcast while it stays small.
+# A token of the tail with more rows than this is not left to one task.  Such tokens are few,
+# and their list is broadcast after a check of its size.
 HOT_ROWS = 5_000_000
 HOT_BYTES = 64 << 20
 
@@ -211,12 +211,10 @@ def _join_tail(rest: DataFrame, tail: DataFrame) -> DataFrame:
     hot = rest.groupBy("token").count().where(F.col("count") > HOT_ROWS).select("token").toArrow()
     if not hot.num_rows:
         return rest.join(tail, "token")
-    if hot.nbytes > HOT_BYTES:
-        raise ValueError("too many frequent tokens outside the vocabulary's head: raise the head")
-    hot = F.broadcast(rest.sparkSession.createDataFrame(hot))
-    known = F.broadcast(tail.join(hot, "token"))
+    hint = F.broadcast if hot.nbytes <= HOT_BYTES else lambda df: df
+    hot = hint(rest.sparkSession.createDataFrame(hot))
     light = rest.join(hot, "token", "left_anti").join(tail, "token")
-    return light.unionByName(rest.join(known, "token"))
+    return light.unionByName(rest.join(hint(tail.join(hot, "token")), "token"))
 
 
 def _scatter(unk: int):
