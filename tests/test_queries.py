@@ -3,8 +3,9 @@ import pytest
 import __spark_entry__ as entry_points
 import oracle
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+# The extra operators have tests of their own.
+QUERIES = {n: q for n, q in entry_points.queries().items() if n not in entry_points.LLM_QUERIES}
+ORACLES = {n: s for n, s in entry_points.oracle_sql().items() if n not in entry_points.LLM_ORACLES}
 
 
 @pytest.fixture(scope="module")
