@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontam, htmltext, pii, quality, toxicity, urlfilter, warc, wordpiece
+from textloom.llm import bpe, decontam, htmltext, jaccard, pii, quality, toxicity, urlfilter, warc, wordpiece
 from textloom.sources.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,12 @@ def op6_personal_data(spark, sf):
 def op7_main_text(spark, sf):
     """The article of every page."""
     return htmltext.extract(pages(spark, sf), htmltext.fit())
+
+
+@query
+def op4_ngram_jaccard(spark, sf):
+    """The component of every document in the exact join of 3-word shingles at 0.9."""
+    joined = jaccard.join_components(documents(spark, sf), size=3, num=90, den=100)
+    return joined.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
