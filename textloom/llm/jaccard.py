@@ -12,8 +12,9 @@ counted before any shuffle.  The join of different sets has three steps.
 2. *Trees.*  All documents that share a key with the same anchor (the smallest class of the key) are
    one group, each document once.  Its sets become the leaves of a signature tree, whose nodes hold the
    OR of the bitmaps below, the range of sizes and the greatest excess of n-grams over bits.  A dual
-   traversal drops node pairs whose greatest possible overlap is too small; what is left is compared
-   exactly, unless already connected.  Groups are split into chunks of bounded size, each with
+   traversal drops node pairs whose greatest possible overlap is too small.  Two rounds of trees see
+   bitmaps alone, coarse and then fine ones, and drop members without any hopeful partner; a last round
+   has the sets, and compares what is left exactly, unless already connected.  Groups are split into chunks of bounded size, each with
    the anchor, so that no task holds a whole group.
 3. *Cross-chunk.*  In a split group, members outside its largest component meet every chunk, by
    the same traversal of two trees.  A group that hangs together, such as thousands of near copies,
@@ -41,6 +42,10 @@ from textloom.llm.components import components
 from textloom.llm.words import STEPS, Hasher, mix, pieces, shingles, signed, words
 from textloom.sources.scratch import materialise
 
+# Chunks of signatures; groups of more chunks are linked within before they are pruned.
+SIGNATURE_CHUNK, MAX_SIGNATURE_CHUNK, PRUNED_CHUNKS = 256, 1024, 8
+# Bits of a signature for each n-gram, for the first and the second round of pruning.
+COARSE, FINE = 2, 8
 SPARE = 2  # ranges beyond the greatest difference
 FANOUT = 8
 MIN_CHUNK, MAX_CHUNK, MAX_CHUNK_GRAMS = 64, 1024, 1 << 21
@@ -56,19 +61,23 @@ class Threshold:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.starts = [1, 1 * den // num + 1]
+        self.starts = [1, self._after(1)]
         self.edges: dict[int, np.ndarray] = {}
 
+    def _after(self, start: int) -> int:
+        """Bands span twice the ratio of linked sizes, so that about half of the sets need two."""
+        return start * self.den**2 // self.num**2 + 1
+
     def band(self, size: int) -> int:
         while self.starts[-1] <= size:
-            self.starts.append(self.starts[-1] * self.den // self.num + 1)
+            self.starts.append(self._after(self.starts[-1]))
         return int(np.searchsorted(self.starts, size, side="right")) - 1
 
     def bands(self, size: int) -> Iterator[tuple[int, int]]:
         """Bands in which a set of this size meets larger ones, and their number of ranges."""
         band = self.band(size)
         while len(self.starts) < band + 3:
-            self.starts.append(self.starts[-1] * self.den // self.num + 1)
+            self.starts.append(self._after(self.starts[-1]))
         for at in (band, band + 1):
             if at == band or size * self.den >= self.num * self.starts[at]:
                 top = self.starts[at + 1] - 1
@@ -143,8 +152,14 @@ def measure(df: DataFrame, size: int, id: str = "doc_id", text: str = "text") ->
     return rows.mapInArrow(run, schema)
 
 
-def routes(df: DataFrame, size: int, t: Threshold, text: str = "text") -> DataFrame:
+def key_bits(grams: int) -> int:
+    """Bits of a routing key: chance meetings stay a small, constant share of all keys."""
+    return min(64, max(32, int(grams).bit_length() + 14))
+
+
+def routes(df: DataFrame, size: int, t: Threshold, bits: int = 64, text: str = "text") -> DataFrame:
     """``key, s1``: where each set meets its partners; equal sets once per task."""
+    shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
@@ -161,7 +176,7 @@ def routes(df: DataFrame, size: int, t: Threshold, text: str = "text") -> DataFr
                 if keys:
                     owner = np.repeat(np.array(owners, np.int64), [len(k) for k in keys])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(np.concatenate(keys))), pa.array(owner)], names=["key", "s1"]
+                        [pa.array(signed(np.concatenate(keys) >> shift)), pa.array(owner)], names=["key", "s1"]
                     )
 
     return df.select(F.col(text).alias("_read")).mapInArrow(run, "key long, s1 long")
@@ -196,14 +211,26 @@ def groups(routed: DataFrame) -> DataFrame:
 # ---- signature trees -----------------------------------------------------------------------------
 
 
+def signature(grams: np.ndarray, per_gram: int = FINE) -> np.ndarray:
+    """Bitmap of a set, of the power of two of bits that is at least ``per_gram`` times its size."""
+    bits = 256
+    while bits < per_gram * len(grams):
+        bits *= 2
+    marks = np.zeros(bits, dtype=bool)
+    marks[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").view(np.uint64)
+
+
+def stacked(signatures: list[np.ndarray]) -> np.ndarray:
+    """Signatures as rows of one width: wider ones are folded, which keeps each bit's low digits."""
+    width = min(len(s) for s in signatures)
+    return np.stack([np.bitwise_or.reduce(s.reshape(-1, width), axis=0) for s in signatures])
+
+
 class Tree:
     """Sets as leaves, in order of size; level 0 holds the leaves, the last level the root."""
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, group: np.ndarray, bits: int):
-        marks = np.zeros((len(sets), bits), dtype=bool)
-        for row, grams in enumerate(sets):
-            marks[row, (grams & np.uint64(bits - 1)).astype(np.int64)] = True
-        packed = np.packbits(marks, axis=1).view(np.uint64)
+    def __init__(self, packed: np.ndarray, sizes: np.ndarray, group: np.ndarray):
         excess = sizes - np.bitwise_count(packed).sum(axis=1, dtype=np.int64)
         self.bitmaps, self.low, self.high = [packed], [sizes], [sizes]
         self.excess, self.first_group, self.last_group = [excess], [group], [group]
@@ -268,6 +295,23 @@ def candidates(a: Tree, b: Tree, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
             x, y = x[once], y[once]
 
 
+def hopeful_pairs(packed: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray | None, t: Threshold):
+    """Pairs of rows of different groups that the traversal leaves.
+
+    Without ``side`` it is that of one tree with itself, else of the trees of side 0 and side 1.
+    """
+    halves = []
+    for of in (0, 1) if side is not None else (None,):
+        at = np.arange(len(sizes)) if of is None else np.flatnonzero(side == of)
+        if not len(at):
+            return at, at
+        at = at[np.argsort(sizes[at], kind="stable")]
+        halves.append((at, Tree(packed[at], sizes[at], group[at])))
+    (left, a), (right, b) = halves[0], halves[-1]
+    x, y = candidates(a, b, t)
+    return left[x], right[y]
+
+
 def link(
     sets: list[np.ndarray], group: np.ndarray, side: np.ndarray | None, t: Threshold
 ) -> list[tuple[int, int]]:
@@ -276,24 +320,8 @@ def link(
     Without ``side`` all sets meet each other, else those of side 0 meet those of side 1.
     """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    bits = 256
-    while bits < 4 * sizes.max():
-        bits *= 2
-    if side is None:
-        order = np.argsort(sizes, kind="stable")
-        tree = Tree([sets[k] for k in order], sizes[order], group[order], bits)
-        x, y = candidates(tree, tree, t)
-        x, y = order[x], order[y]
-    else:
-        halves = []
-        for of in (0, 1):
-            at = np.flatnonzero(side == of)
-            at = at[np.argsort(sizes[at], kind="stable")]
-            if not len(at):
-                return []
-            halves.append((at, Tree([sets[k] for k in at], sizes[at], group[at], bits)))
-        x, y = candidates(halves[0][1], halves[1][1], t)
-        x, y = halves[0][0][x], halves[1][0][y]
+    packed = stacked([signature(s) for s in sets])
+    x, y = hopeful_pairs(packed, sizes, group, side, t)
     _, root = np.unique(group, return_inverse=True)
     parent = list(range(int(root.max()) + 1))
 
@@ -319,27 +347,8 @@ def link(
 UNIT = ["u1", "u2", "u3"]
 
 
-def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
-    """Edges ``a, b`` within units: rows ``u1, u2, u3, side, grp, s1, s2, grams``."""
-
-    def solve(unit: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        table = pa.Table.from_batches(unit)
-        side, grp, s1, s2 = (table[c].to_numpy() for c in ("side", "grp", "s1", "s2"))
-        _, first = np.unique(np.stack((side, s1, s2), axis=1), axis=0, return_index=True)
-        if len(first) < 2:
-            return None
-        raw = table["grams"].take(pa.array(first)).to_pylist()
-        sets = [np.frombuffer(r, dtype=np.uint64) for r in raw]
-        side, grp, s1, s2 = side[first], grp[first], s1[first], s2[first]
-        links = link(sets, grp, side if side.any() else None, t)
-        if not links:
-            return None
-        i, j = np.array(links).T
-        ends = [
-            pa.StructArray.from_arrays([pa.array(s1[k]), pa.array(s2[k])], names=["s1", "s2"])
-            for k in (i, j)
-        ]
-        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+def per_unit(rows: DataFrame, columns: list[str], solve, schema: str) -> DataFrame:
+    """``solve`` for the rows of each unit; only one unit at a time is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit: list[pa.RecordBatch] = []
@@ -352,18 +361,63 @@ def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
             for start, stop in zip(starts[:-1], starts[1:], strict=True):
                 name = tuple(keys[start].tolist())
                 if name != last and unit:
-                    if (out := solve(unit)) is not None:
+                    if (out := solve(pa.Table.from_batches(unit))) is not None:
                         yield out
                     unit = []
                 last = name
                 unit.append(batch.slice(start, stop - start))
-        if unit and (out := solve(unit)) is not None:
+        if unit and (out := solve(pa.Table.from_batches(unit))) is not None:
             yield out
 
+    placed = rows.select(*UNIT, *columns).repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return placed.mapInArrow(run, schema)
+
+
+def prune_units(rows: DataFrame, t: Threshold) -> DataFrame:
+    """``anchor, s1, s2`` of rows ``u1, u2, u3, side, grp, s1, s2, n, signature`` with a hopeful partner."""
+
+    def solve(unit: pa.Table) -> pa.RecordBatch | None:
+        side, grp, s1, s2, n = (unit[c].to_numpy() for c in ("side", "grp", "s1", "s2", "n"))
+        _, first = np.unique(np.stack((side, s1, s2), axis=1), axis=0, return_index=True)
+        if len(first) < 2:
+            return None
+        raw = unit["signature"].take(pa.array(first)).to_pylist()
+        packed = stacked([np.frombuffer(r, dtype=np.uint64) for r in raw])
+        two = side[first] if side.any() else None
+        x, y = hopeful_pairs(packed, n[first], grp[first], two, t)
+        kept = first[np.unique(np.concatenate((x, y)))]
+        anchor = np.full(len(kept), unit["u1"][0].as_py(), dtype=np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(anchor), pa.array(s1[kept]), pa.array(s2[kept])], names=["anchor", "s1", "s2"]
+        )
+
+    columns = ["side", "grp", "s1", "s2", "n", "signature"]
+    return per_unit(rows, columns, solve, "anchor long, s1 long, s2 long").distinct()
+
+
+def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
+    """Edges ``a, b`` within units: rows ``u1, u2, u3, side, grp, s1, s2, grams``."""
+
+    def solve(unit: pa.Table) -> pa.RecordBatch | None:
+        side, grp, s1, s2 = (unit[c].to_numpy() for c in ("side", "grp", "s1", "s2"))
+        _, first = np.unique(np.stack((side, s1, s2), axis=1), axis=0, return_index=True)
+        if len(first) < 2:
+            return None
+        raw = unit["grams"].take(pa.array(first)).to_pylist()
+        sets = [np.frombuffer(r, dtype=np.uint64) for r in raw]
+        side, grp, s1, s2 = side[first], grp[first], s1[first], s2[first]
+        links = link(sets, grp, side if side.any() else None, t)
+        if not links:
+            return None
+        i, j = np.array(links).T
+        ends = [
+            pa.StructArray.from_arrays([pa.array(s1[k]), pa.array(s2[k])], names=["s1", "s2"])
+            for k in (i, j)
+        ]
+        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
     node = "struct<s1: bigint, s2: bigint>"
-    columns = [*UNIT, "side", "grp", "s1", "s2", "grams"]
-    placed = rows.select(*columns).repartition(*UNIT).sortWithinPartitions(*UNIT)
-    return placed.mapInArrow(run, f"a {node}, b {node}")
+    return per_unit(rows, ["side", "grp", "s1", "s2", "grams"], solve, f"a {node}, b {node}")
 
 
 # ---- the join --------------------------------------------------------------------------------------
@@ -375,8 +429,10 @@ def broadcast_ids(ids: DataFrame, column: str) -> DataFrame:
     return F.broadcast(ids) if whole and ids.count() <= MAX_BROADCAST_IDS else ids
 
 
-def _candidate_sets(df: DataFrame, wanted: DataFrame, size: int, id: str, text: str) -> DataFrame:
-    """``s1, s2, n, grams`` of the wanted classes, from the texts of their smallest ids."""
+def _of_classes(
+    df: DataFrame, wanted: DataFrame, size: int, id: str, text: str, name: str, make
+) -> DataFrame:
+    """``s1, s2, n`` and ``make(set)`` of the wanted classes, from the texts of their smallest ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
@@ -387,31 +443,65 @@ def _candidate_sets(df: DataFrame, wanted: DataFrame, size: int, id: str, text:
                     digest = digests(grams)
                     if digest not in seen:
                         seen.add(digest)
-                        rows.append((*digest, len(grams), grams.tobytes()))
+                        rows.append((*digest, len(grams), make(grams).tobytes()))
                 if rows:
                     types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)],
-                        names=["s1", "s2", "n", "grams"],
+                        names=["s1", "s2", "n", name],
                     )
 
     ids = materialise(wanted.select(F.col("rep").alias("_rep")).distinct(), "ids")
     texts = df.select(F.col(id).alias("_id"), F.col(text).alias("_read"))
     texts = texts.join(broadcast_ids(ids, "_rep"), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    found = texts.select("_read").mapInArrow(run, "s1 long, s2 long, n long, grams binary")
-    return materialise(found.join(wanted.select("s1", "s2"), ["s1", "s2"], "left_semi"), "sets")
+    found = texts.select("_read").mapInArrow(run, f"s1 long, s2 long, n long, {name} binary")
+    return materialise(found.join(wanted.select("s1", "s2"), ["s1", "s2"], "left_semi"), name)
 
 
-def _links(df: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str) -> DataFrame | None:
+def _pruned(rows: DataFrame, signatures: DataFrame, t: Threshold) -> DataFrame:
+    """``anchor, s1, s2``: the members of each group less those that no signature gives a partner.
+
+    Groups are cut into chunks, and all pairs of chunks are traversed, while they are few; larger
+    groups stay as they are.
+    """
+    zero = F.lit(0).cast("long")
+    plan = rows.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / SIGNATURE_CHUNK).alias("chunks"))
+    placed = rows.join(materialise(plan, "chunks"), "anchor")
+    few = placed.where(F.col("chunks") <= PRUNED_CHUNKS).select(
+        F.col("anchor").alias("u1"), "s1", "s2",
+        F.pmod(F.xxhash64("s1"), F.col("chunks")).alias("chunk"),
+        F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("other"),
+    )
+    units = few.select(
+        "u1", F.least("chunk", "other").alias("u2"), F.greatest("chunk", "other").alias("u3"),
+        zero.alias("side"), F.xxhash64("s1", "s2").alias("grp"), "s1", "s2",
+    )
+    kept = prune_units(units.join(signatures, ["s1", "s2"]), t)
+    many = placed.where(F.col("chunks") > PRUNED_CHUNKS).select("anchor", "s1", "s2")
+    return materialise(kept.unionByName(many), "pruned")
+
+
+def _links(df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str) -> DataFrame | None:
     """``node, label`` of the linked classes, or None if no two different sets are linked."""
-    stars = materialise(groups(routes(df, size, t, text)), "groups")
+    bits = key_bits(measured.agg(F.sum("n")).first()[0] or 0)
+    stars = materialise(groups(routes(df, size, t, bits, text)), "groups")
     if stars.isEmpty():
         return None
-    members = stars.select(F.col("anchor").alias("s1")).union(stars.select("member")).distinct()
-    wanted = materialise(classes.join(members, "s1"), "candidates")
-    sets = _candidate_sets(df, wanted, size, id, text)
+    # Every group with its anchor, as classes; the first half of a digest may stand for several.
+    own = stars.select("anchor").distinct().withColumn("s1", F.col("anchor"))
+    grouped = own.unionByName(stars.select("anchor", F.col("member").alias("s1")))
+    wanted = materialise(classes.join(grouped.select("s1").distinct(), "s1"), "candidates")
+    rows = materialise(grouped.join(wanted.select("s1", "s2"), "s1"), "members")
+    for per_gram in (COARSE, FINE):
+        signatures = _of_classes(df, wanted, size, id, text, "signature", lambda g, k=per_gram: signature(g, k))
+        rows = _pruned(rows, signatures, t)
+        if rows.isEmpty():
+            return None
+        left = rows.select("s1", "s2").distinct()
+        wanted = materialise(wanted.join(left, ["s1", "s2"], "left_semi"), "candidates")
+    sets = _of_classes(df, wanted, size, id, text, "grams", lambda g: g)
     # Chunks of a group: by its number of members and of n-grams.
-    sized = stars.join(wanted.select(F.col("s1").alias("member"), "n"), "member")
+    sized = rows.join(sets.select("s1", "s2", "n"), ["s1", "s2"])
     per_chunk = F.least(F.greatest(F.col("m") / 256, F.lit(MIN_CHUNK)), F.lit(MAX_CHUNK))
     plan = (
         sized.groupBy("anchor")
@@ -422,53 +512,68 @@ def _links(df: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str,
         )
     )
     plan = materialise(plan, "chunks")
-    chunk = F.pmod(F.xxhash64("member"), F.col("chunks"))
-    own = plan.select("anchor", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("anchor").alias("s1"))
-    placed = stars.join(plan, "anchor").select("anchor", chunk.alias("chunk"), F.col("member").alias("s1"))
-    units = placed.unionByName(own).select(
-        F.col("anchor").alias("u1"), F.col("chunk").alias("u2"), F.lit(0).cast("long").alias("u3"), F.lit(0).cast("long").alias("side"), "s1"
+    rows = materialise(rows.join(plan, "anchor"), "members")
+    zero = F.lit(0).cast("long")
+    # The anchor goes to every chunk of its group.
+    chunk = F.when(F.col("s1") == F.col("anchor"), F.sequence(zero, F.col("chunks") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("s1"), F.col("chunks")))
+    )
+    units = rows.select(
+        F.col("anchor").alias("u1"), F.explode(chunk).alias("u2"), zero.alias("u3"), zero.alias("side"),
+        F.xxhash64("s1", "s2").alias("grp"), "s1", "s2",
     )
-    edges = materialise(link_units(units.join(sets, "s1").withColumn("grp", F.xxhash64("s1", "s2")), t), "links")
+    edges = materialise(link_units(units.join(sets, ["s1", "s2"]), t), "links")
     linked = materialise(components(edges), "components")
-    split = plan.where(F.col("chunks") > 1)
+    split = rows.where(F.col("chunks") > 1)
     if split.isEmpty():
         return linked
-    more = materialise(_cross_chunks(stars, split, sets, linked, t), "links")
+    # First the signatures, then the sets of what they leave.
+    apart = _labelled(split, linked)
+    hopeful = prune_units(_across(apart).join(signatures, ["s1", "s2"]), t)
+    apart = materialise(apart.join(materialise(hopeful, "pruned"), ["anchor", "s1", "s2"], "left_semi"), "labelled")
+    if apart.isEmpty():
+        return linked
+    more = materialise(link_units(_across(apart).join(sets, ["s1", "s2"]), t), "links")
     if more.isEmpty():
         return linked
     joined = linked.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
     return materialise(components(joined), "components")
 
 
-def _cross_chunks(stars: DataFrame, split: DataFrame, sets: DataFrame, linked: DataFrame, t: Threshold) -> DataFrame:
-    """Edges between chunks: members outside a group's largest component against all members."""
-    rows = stars.join(split, "anchor").select("anchor", "chunks", F.col("member").alias("s1"))
-    rows = rows.unionByName(split.select("anchor", "chunks", F.col("anchor").alias("s1")))
-    rows = rows.join(sets.select("s1", "s2"), "s1").withColumn("node", F.struct("s1", "s2"))
+def _labelled(split: DataFrame, linked: DataFrame) -> DataFrame:
+    """``anchor, s1, s2, label``: the members of split groups with the component they are in."""
+    rows = split.withColumn("node", F.struct("s1", "s2"))
     rows = rows.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rows = materialise(rows, "members")
+    return materialise(rows.select("anchor", "s1", "s2", "label"), "labelled")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Units of members outside a group's largest component against all members of the group."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     parts = rows.groupBy("anchor", "label").agg(F.count(F.lit(1)).alias("m"))
     main = parts.groupBy("anchor").agg(
         F.max(F.struct("m", "label"))["label"].alias("main"),
+        F.sum("m").alias("m"),
         (F.sum("m") - F.max("m")).alias("others"),
     )
-    main = main.where(F.col("others") > 0).withColumn("blocks", F.ceil(F.col("others") / MAX_CHUNK))
+    per_chunk = F.least(F.greatest(F.col("m") / 32, F.lit(SIGNATURE_CHUNK)), F.lit(MAX_SIGNATURE_CHUNK))
+    main = main.where(F.col("others") > 0).select(
+        "anchor", "main", F.ceil(F.col("m") / per_chunk).alias("chunks"), F.ceil(F.col("others") / per_chunk).alias("blocks")
+    )
     rows = rows.join(materialise(main, "parts"), "anchor").withColumn("grp", F.xxhash64("label"))
-    number = F.xxhash64("s1")
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     outside = rows.where(F.col("label") != F.col("main")).select(
         F.col("anchor").alias("u1"),
         F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("u2"),
-        F.pmod(number, F.col("blocks")).alias("u3"),
+        F.pmod(F.xxhash64("s1"), F.col("blocks")).alias("u3"),
         zero.alias("side"), "grp", "s1", "s2",
     )
     whole = rows.select(
         F.col("anchor").alias("u1"),
-        F.pmod(number, F.col("chunks")).alias("u2"),
+        F.pmod(F.xxhash64("s1"), F.col("chunks")).alias("u2"),
         F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("u3"),
         one.alias("side"), "grp", "s1", "s2",
     )
-    return link_units(outside.unionByName(whole).join(sets.drop("n"), ["s1", "s2"]), t)
+    return outside.unionByName(whole)
 
 
 def join_components(
@@ -484,7 +589,7 @@ def join_components(
     classes = materialise(
         measured.where(F.col("n") > 0).groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes"
     )
-    linked = _links(df, classes, size, t, id, text)
+    linked = _links(df, measured, classes, size, t, id, text)
     if linked is not None:
         nodes = linked.select(F.col("node.s1").alias("s1"), F.col("node.s2").alias("s2"), "label")
         named = materialise(classes.join(nodes, ["s1", "s2"]), "nodes")
