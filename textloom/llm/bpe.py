@@ -28,9 +28,8 @@ from textloom.llm.words import pieces
 END = "</w>"
 MARKS = frozenset('.,;:!?#$%&*"|')
 NEVER = np.int64(2**62)
-PIECE = 1 << 22
-CACHE_WORDS = 1 << 20
-CACHE_CHARS = 1 << 26
+CACHE_WORDS = 1 << 18
+CACHE_CHARS = 1 << 24
 
 
 def byte_symbols() -> list[str]:
@@ -263,7 +262,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder()
         for batch in batches:
-            for at, column in pieces(batch.column(len(keep)), PIECE):
+            for at, column in pieces(batch.column(len(keep))):
                 ids, offsets = encoder.encode(column.to_pylist())
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets, type=pa.int32()), pa.array(ids, type=pa.int32())
@@ -303,7 +302,7 @@ def roundtrip_digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder()
         for batch in batches:
-            for at, column in pieces(batch.column(len(keep)), PIECE):
+            for at, column in pieces(batch.column(len(keep))):
                 ids, offsets = encoder.encode(column.to_pylist())
                 exact = ids.astype("<u4")
                 rows = [exact[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
