@@ -42,7 +42,7 @@ HEADLINE = [
 
 def blocks_2048(spark: SparkSession, sf: str) -> DataFrame:
     """The baseline's own setting: blocks of 2048 tokens from batches of 1000 rows."""
-    vocab = R.doc_vocab(spark, sf)
+    vocab = R.full_vocab(spark, sf)
     return corpus.prepare_corpus(R.documents(spark, sf), vocab, block_size=2048, batch_size=1000)
 
 

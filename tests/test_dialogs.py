@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from textloom.operators.dialogs import (
     concat_dialogs,
-    first_turns,
     instruct_rejects,
     instruct_to_dialog,
     size_report,
@@ -80,14 +79,3 @@ def test_turns_are_put_in_order(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv_id: [m.content for m in r.dialog] for r in turns_to_dialog(df.repartition(5)).collect()}
     assert got == {1: [f"t{t}" for t in range(12)], 2: ["only"]}
-
-
-def test_long_conversations_are_cut_exactly(spark):
-    # One conversation holds a third of all rows, and its turn numbers have gaps.
-    long = spark.range(3000).select(F.lit(7).cast("long").alias("conv_id"), (F.col("id") * 3).alias("turn"))
-    short = spark.range(6000).select((F.col("id") % 600 + 100).alias("conv_id"), F.expr("id div 600").alias("turn"))
-    turns = long.union(short).repartition(6)
-    got = first_turns(turns, 50)
-    assert got.where("conv_id <> 7").count() == 6000
-    assert [r.turn for r in got.where("conv_id = 7").orderBy("turn").collect()] == [3 * i for i in range(50)]
-    assert first_turns(turns, 3000) is turns

@@ -83,3 +83,20 @@ def test_no_single_task_or_cross_join_in_the_plan(spark, capsys):
     plan = capsys.readouterr().out
     assert "SinglePartition" not in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_no_row_is_lost_for_null_parts_and_keys(spark):
+    rows = [(None if i % 3 == 0 else "a", None if i == 5 else i, f"t{i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "part string, k long, text string").repartition(4)
+    got = global_position(df, "k", parts=["part"]).collect()
+    expected = {}
+    for part in (None, "a"):
+        own = sorted((r for r in rows if r[0] == part), key=lambda r: (r[1] is not None, r[1] or 0))
+        expected.update({r[2]: at for at, r in enumerate(own)})
+    assert len(got) == 90 and {r.text: r.pos for r in got} == expected
+
+
+def test_repeated_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, text string")
+    with pytest.raises(ValueError, match="repeats"):
+        global_position(df, "k")

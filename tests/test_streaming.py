@@ -56,3 +56,16 @@ def test_stream_render(spark, sf_dir, tmp_path):
     got = {r.conv_id: r.text for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     prompt = render_prompt(F.col("dialog"), "Be brief.").alias("text")
     assert got == {r.conv_id: r.text for r in dialogs.select("conv_id", prompt).collect()}
+
+
+def test_a_grown_vocabulary_keeps_all_rows(spark, corpus, tmp_path):
+    """The layout does not depend on the vocabulary, and a trailing slash is no part of the path."""
+    path, docs = corpus
+    first, source = docs.where("doc_id < 20"), f"{tmp_path}/in"
+    first.coalesce(1).write.parquet(source)
+    table = build_vocab(docs)
+    for head, rows in ((1 << 18, 20), (50, 60)):
+        stream = jobs.stream_corpus(spark, source + "/", docs.schema)
+        jobs.stream_tokenize(stream, Vocabulary(table, head=head), f"{tmp_path}/out", f"{tmp_path}/state")
+        assert spark.read.parquet(f"{tmp_path}/out").count() == rows
+        docs.where("doc_id >= 20").coalesce(1).write.mode("append").parquet(source)

@@ -3,7 +3,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import vocab as vocab_module
 from textloom.operators.tokens import (
     attention_mask,
     encode_batches,
@@ -63,10 +62,8 @@ def test_ids_with_and_without_a_tail(spark, head):
         assert got[pos] == expected, pos
 
 
-@pytest.mark.parametrize("limit", [0, 20, 60])
-def test_frequent_tokens_outside_the_head(spark, monkeypatch, limit):
+def test_frequent_tokens_outside_the_head(spark):
     # "hot" is in the tail, "gone" in no vocabulary; both fill many rows.
-    monkeypatch.setattr(vocab_module, "HOT_ROWS", limit)
     table = spark.createDataFrame([("a", 3), ("hot", 4), ("rare", 5)], "token string, id int")
     vocab = Vocabulary(table, head=4)
     texts = ["a hot gone rare" if i % 10 == 0 else "hot gone hot a" for i in range(50)]
@@ -125,3 +122,11 @@ def test_a_user_tokenizer_runs_per_batch(spark):
 
     got = encode_batches(corpus(spark, ["a b", "b x a", ""]), encode).collect()
     assert {r.pos: r.input_ids for r in got} == {0: [1, 2], 1: [2, 0, 1], 2: []}
+
+
+def test_tail_ids_of_null_and_repeated_keys(spark):
+    table = spark.createDataFrame([("a", 3), ("b", 4)], "token string, id int")
+    rows = [(1, "a b a"), (1, "b a"), (None, "b"), (None, "a c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = tokenize(df, Vocabulary(table, head=3), keep=["doc_id"]).collect()
+    assert sorted(((r.doc_id or 0), r.input_ids) for r in got) == [(0, [3, 0]), (0, [4]), (1, [3, 4, 3]), (1, [4, 3])]

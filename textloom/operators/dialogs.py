@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import literal_pattern, strip
-from textloom.operators.order import global_position
 
 DIALOG_TYPE = "array<struct<role:string,content:string>>"
 
@@ -88,26 +87,12 @@ def size_report(df: DataFrame) -> DataFrame:
     return df.rollup("source").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def first_turns(df: DataFrame, limit: int, key: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Drop the turns after the first ``limit`` of each conversation.
-
-    A sample of at most ``limit`` tokens never reaches them, since every turn has a token.  So
-    a conversation of any size can be cut down before its turns meet in one row.  Nothing is
-    moved while no conversation is that long.
-    """
-    longest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if longest <= limit:
-        return df
-    index = global_position(df.select(key, turn), turn, parts=[key], name="_index")
-    return df.join(index.where(F.col("_index") < limit), [key, turn], "left_semi")
-
-
 def turns_to_dialog(
     df: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
     """One dialog row per conversation from a table with one row per turn.
 
-    The conversation is the row, so its turns must fit in one; see ``first_turns``.
+    The conversation is the row, so its turns must fit in one.
     """
     ordered = F.array_sort(F.collect_list(F.struct(turn, role, text)))
     return (

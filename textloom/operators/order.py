@@ -73,13 +73,23 @@ def running_total(
     here = Window.partitionBy(*parts, "_range")
     upto = here.orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.sum("_value").over(upto) - F.col("_value")
-    placed = ranged.join(F.broadcast(_carried(ranged, parts)), [*parts, "_range"], "left")
+    carried = _carried(ranged, parts)
+    carried = carried.toDF(*[f"_of_{c}" for c in (*parts, "_range")], "_base", "_whole")
+    placed = ranged.join(F.broadcast(carried), _same([*parts, "_range"]), "left")
     columns = [*parts, *order, (F.coalesce("_base", F.lit(0)) + before).alias(name)]
     if whole:
         columns.append(F.coalesce("_whole", F.sum("_value").over(here)).alias(whole))
     return placed.select(*columns)
 
 
+def _same(columns: Sequence[str]) -> Column:
+    """Rows agree with the ``_of_`` columns of the other side, null with null."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return same
+
+
 def _carried(ranged: DataFrame, parts: list[str]) -> DataFrame:
     """``parts, _range, _base, _whole`` for the parts that reach over a border of ranges.
 
@@ -120,8 +130,14 @@ def global_position(
     parts: Sequence[str] = (),
     descending: Sequence[str] = (),
     name: str = "pos",
+    unique: bool = False,
 ) -> DataFrame:
-    """Add the 0-based position of every row within its part under a unique sort key."""
+    """Add the 0-based position of every row within its part under a unique sort key.
+
+    No row is lost: null parts and null keys are values like others.  A sort key that repeats
+    within a part would not tell which of its rows comes first: with further columns it is refused
+    with an error, unless the caller knows it to be ``unique``.
+    """
     order, parts = _names(order), list(parts)
     if not parts and len(order) == 1 and not descending:
         first = _dense_start(df, order[0])
@@ -130,7 +146,12 @@ def global_position(
     placed = running_total(df, order, F.lit(1), parts, descending, name)
     if set(df.columns) == {*parts, *order}:
         return placed
-    return df.join(placed, [*parts, *order])
+    if not unique:
+        keys = df.select(*parts, *order).groupBy(*parts, *order).agg(F.count(F.lit(1)).alias("_n"))
+        if not keys.where(F.col("_n") > 1).isEmpty():
+            raise ValueError(f"{order} repeats within {parts or 'the table'}: rows have no position")
+    placed = placed.toDF(*[f"_of_{c}" for c in (*parts, *order)], name)
+    return df.join(placed, _same([*parts, *order])).select(*df.columns, name)
 
 
 def file_position(df: DataFrame, name: str = "pos") -> DataFrame:

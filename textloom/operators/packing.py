@@ -38,7 +38,7 @@ def dialog_lengths(
 def length_rank(lengths: DataFrame) -> DataFrame:
     """Add ``rank``: 0-based, longest first, ties by position."""
     return global_position(
-        lengths, ["length", "pos"], parts=["split"], descending=["length"], name="rank"
+        lengths, ["length", "pos"], parts=["split"], descending=["length"], name="rank", unique=True
     )
 
 

@@ -21,14 +21,13 @@ def tokenize(
     keep: Sequence[str] = ("split", "pos"),
     add_bos: bool = False,
     max_length: int | None = None,
-    keys: Sequence[str] | None = None,
     name: str = "input_ids",
 ) -> DataFrame:
     """``keep`` columns and the token ids; all other columns are dropped.
 
-    Truncation counts the beginning-of-sequence token and comes before the lookup.  ``keys``
-    (default ``keep``) identify a row; only a vocabulary with a tail needs them, and it has the
-    ids of its head written once, so that the texts are lexed once.
+    Truncation counts the beginning-of-sequence token and comes before the lookup.  A vocabulary
+    with a tail has the ids of its head written once, so that the texts are lexed once; its rows
+    are told apart by their place in the written files, so ``keep`` may be null or repeat.
     """
     tokens = vocab.lex(F.col(text))
     if max_length is not None:
@@ -37,8 +36,10 @@ def tokenize(
         out = df.select(*keep, vocab.head_ids(tokens).alias(name))
     else:
         found = df.select(*keep, vocab.head_ids_and_rest(tokens).alias(name))
-        found = materialise(found, "ids")
-        out = resolve_tail(found, vocab, list(keys or keep), name).select(*keep, name)
+        found = materialise(found, "ids").withColumns(
+            {"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
+        )
+        out = resolve_tail(found, vocab, ["_file", "_row"], name).select(*keep, name)
     if add_bos:
         bos = F.array(F.lit(vocab.specials.bos_id))
         out = out.withColumn(name, F.concat(bos, F.col(name)))

@@ -19,11 +19,6 @@ from textloom.operators.order import global_position
 # The most frequent ids are broadcast; at some 30 bytes each this stays below 10 MB.
 HEAD_TOKENS = 1 << 18
 
-# A token of the tail with more rows than this is not left to one task.  Such tokens are few,
-# and their list is broadcast after a check of its size.
-HOT_ROWS = 5_000_000
-HOT_BYTES = 64 << 20
-
 IDS = T.ArrayType(T.IntegerType())
 IDS_AND_REST = T.StructType(
     [
@@ -92,7 +87,7 @@ def build_vocab(
     ``size`` is the size of the vocabulary including the specials; None keeps every token.
     """
     counts = count_tokens(df, text, specials)
-    ranked = global_position(counts, ["n", "token"], descending=["n"], name="id")
+    ranked = global_position(counts, ["n", "token"], descending=["n"], name="id", unique=True)
     ranked = ranked.select("token", "n", (F.col("id") + len(specials.tokens)).cast("int").alias("id"))
     return ranked if size is None else ranked.where(F.col("id") < size)
 
@@ -190,12 +185,14 @@ def _ids_and_rest(shared):
 def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: str) -> DataFrame:
     """Ids from a column of ``head_ids_and_rest``, by joining only the rest with the tail.
 
-    ``keys`` identify a row.  What the tail does not hold either becomes the unknown id.  ``df``
-    is read twice: hand over a written table.
+    ``keys`` identify a row and are not null.  What the tail does not hold either becomes the
+    unknown id.  ``df`` is read twice: hand over a written table.  A token that is frequent here
+    but rare in the vocabulary makes a large partition, which adaptive execution splits.
     """
     places = F.arrays_zip(F.col(f"{found}.at").alias("at"), F.col(f"{found}.rest").alias("token"))
     resolved = (
-        _join_tail(df.select(*keys, F.inline(places)), vocab.tail)
+        df.select(*keys, F.inline(places))
+        .join(vocab.tail, "token")
         .groupBy(*keys)
         .agg(F.collect_list("at").alias("_at"), F.collect_list("id").alias("_id"))
     )
@@ -203,20 +200,6 @@ def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: s
     return df.join(resolved, list(keys), "left").withColumn(found, ids).drop("_at", "_id")
 
 
-def _join_tail(rest: DataFrame, tail: DataFrame) -> DataFrame:
-    """Join tokens with the tail; those that fill too many rows for one task are broadcast.
-
-    A vocabulary of another corpus, or a cut one, may leave a very frequent token to the tail.
-    """
-    hot = rest.groupBy("token").count().where(F.col("count") > HOT_ROWS).select("token").toArrow()
-    if not hot.num_rows:
-        return rest.join(tail, "token")
-    hint = F.broadcast if hot.nbytes <= HOT_BYTES else lambda df: df
-    hot = hint(rest.sparkSession.createDataFrame(hot))
-    light = rest.join(hot, "token", "left_anti").join(tail, "token")
-    return light.unionByName(rest.join(hint(tail.join(hot, "token")), "token"))
-
-
 def _scatter(unk: int):
     @F.arrow_udf(IDS)
     def scatter(ids: pa.Array, at: pa.Array, found: pa.Array) -> pa.Array:

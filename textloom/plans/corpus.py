@@ -34,7 +34,7 @@ def token_batches(
     """``split, batch_id, pos, input_ids`` of a split corpus."""
     batched = row_batches(df, batch_size, num_shards)
     tokens = tokenize(
-        batched, vocab, text, keep=["split", "batch_id", "pos"], keys=["split", "pos"], add_bos=add_bos
+        batched, vocab, text, keep=["split", "batch_id", "pos"], add_bos=add_bos
     )
     # Large batches are read twice for their offsets; tokenise only once.
     if not batch_size or not 0 < batch_size <= WINDOW_ROWS:

@@ -39,12 +39,10 @@ VOCAB = """vocab AS (
   FROM tokens WHERE token NOT IN ('<unk>', '<s>', '</s>') GROUP BY token)"""
 
 
-def _encoded(size: int | None) -> str:
-    limit = f"AND v.id < {size}" if size else ""
-    return f"""encoded AS (
+ENCODED = """encoded AS (
   SELECT t.doc_id, t.split, t.pos, t.i,
          CASE t.token WHEN '<s>' THEN 1 WHEN '</s>' THEN 2 ELSE coalesce(v.id, 0) END AS id
-  FROM tokens t LEFT JOIN vocab v ON v.token = t.token {limit})"""
+  FROM tokens t LEFT JOIN vocab v ON v.token = t.token)"""
 
 
 ROWS = """ids AS (
@@ -53,7 +51,7 @@ ROWS = """ids AS (
   USING (doc_id))"""
 
 DOCS = (CORPUS, LEXED, TOKENS, VOCAB)
-DOC_IDS = (*DOCS, _encoded(R.VOCAB_SIZE), ROWS)
+DOC_IDS = (*DOCS, ENCODED, ROWS)
 
 
 def _blocks(batch: str) -> str:
@@ -67,14 +65,14 @@ def _blocks(batch: str) -> str:
   GROUP BY split, batch_id, off // {R.BLOCK_SIZE})"""
 
 
-BLOCKS = (*DOCS, _encoded(R.VOCAB_SIZE), _blocks(f"pos // {R.BATCH_SIZE}"))
-WHOLE = (*DOCS, _encoded(R.VOCAB_SIZE), _blocks("0"))
+BLOCKS = (*DOCS, ENCODED, _blocks(f"pos // {R.BATCH_SIZE}"))
+WHOLE = (*DOCS, ENCODED, _blocks("0"))
 BLOCK_ROWS = f"""SELECT split, batch_id, block_id, {_digest_ids('ids')} AS ids_md5,
   len(ids)::BIGINT AS n_ids FROM blocks"""
 ALL_AS_TRAIN = CORPUS.replace("CASE WHEN p < border THEN 'validation' ELSE 'train' END", "'train'").replace(
     "CASE WHEN p < border THEN p ELSE p - border END", "p"
 )
-STREAM = (ALL_AS_TRAIN, *DOCS[1:], _encoded(R.VOCAB_SIZE), _blocks("0"))
+STREAM = (ALL_AS_TRAIN, *DOCS[1:], ENCODED, _blocks("0"))
 BATCHES = f"""batch_totals AS (
   SELECT split, pos // {R.BATCH_SIZE} AS batch_id, sum(len(ids))::BIGINT AS tokens
   FROM ids GROUP BY split, pos // {R.BATCH_SIZE})"""
@@ -161,7 +159,7 @@ chat_tokens AS (
 samples AS (
   SELECT t.split, t.pos, list(
     CASE t.token WHEN '<s>' THEN 1 WHEN '</s>' THEN 2 ELSE coalesce(v.id, 0) END ORDER BY t.i) AS ids
-  FROM chat_tokens t LEFT JOIN chat_vocab v ON v.token = t.token AND v.id < {R.VOCAB_SIZE}
+  FROM chat_tokens t LEFT JOIN chat_vocab v ON v.token = t.token
   GROUP BY t.split, t.pos)"""
 
 
@@ -295,6 +293,9 @@ ORACLES: dict[str, str] = {
     "publish_roundtrip": FROM_TURNS,
     "global_position": """SELECT lang, n_chars, doc_id,
       row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) - 1 AS pos FROM documents""",
+    "position_nullable_part": """SELECT nullif(lang, 'de') AS part, n_chars, doc_id,
+      row_number() OVER (PARTITION BY nullif(lang, 'de') ORDER BY n_chars DESC, doc_id) - 1 AS pos
+      FROM documents""",
     "token_offsets": _with(CORPUS, LEXED)
     + """SELECT split, pos, (sum(len(toks)) OVER (PARTITION BY split ORDER BY pos) - len(toks))::BIGINT
       AS start FROM lexed""",
@@ -319,7 +320,8 @@ ORACLES: dict[str, str] = {
     + """SELECT coalesce(source, 'total') AS source, count(*) AS rows FROM merged
       GROUP BY ROLLUP (source)""",
     "build_vocab": _with(*DOCS) + "SELECT token, n, id FROM vocab",
-    "tokenize_docs": _with(*DOCS, _encoded(None), ROWS) + DOC_TOKENS,
+    "tokenize_docs": _with(*DOC_IDS) + DOC_TOKENS,
+    "tokenize_small_head": _with(*DOC_IDS) + DOC_TOKENS,
     "tokenize_truncated": _with(*DOC_IDS)
     + f"""SELECT doc_id, md5(array_to_string(list_slice(ids, 1, {R.TRUNCATE_AT}), ',')) AS ids_md5,
       least(len(ids), {R.TRUNCATE_AT})::BIGINT AS n_ids FROM ids""",
@@ -383,8 +385,7 @@ ORACLES: dict[str, str] = {
     + f"SELECT split, pos, {_digest_ids('ids')} AS ids_md5, len(ids)::BIGINT AS n_ids FROM samples",
     "collate_causal": _with(
         *DOC_IDS,
-        f"cut AS (SELECT split, pos, list_slice(ids, 1, {R.BLOCK_SIZE}) AS ids FROM ids)",
-        _collated("cut"),
+        _collated("ids"),
     )
     + _batch_rows("cells", "lab0"),
     "restore_eos": _with(*CHAT_BATCHES) + _batch_rows("restored", "lab"),
@@ -419,7 +420,7 @@ ORACLES: dict[str, str] = {
       FROM hundredths""",
     "split_summary": _with(*DOC_IDS)
     + "SELECT split, count(*) AS rows, sum(len(ids))::BIGINT AS tokens FROM ids GROUP BY split",
-    "stream_tokenize": _with(*DOCS, _encoded(None), ROWS) + DOC_TOKENS,
+    "stream_tokenize": _with(*DOCS, ENCODED, ROWS) + DOC_TOKENS,
     "stream_render": _with(TURNS, _prompts(SYSTEM_BLOCK))
     + "SELECT conv_id, md5(text) AS text_md5, length(text)::BIGINT AS n FROM prompts",
     "stream_group_texts": _with(*STREAM)

@@ -26,11 +26,11 @@ from textloom.sources import readers, writers
 from textloom.sources.scratch import materialise, scratch_path
 from textloom.streaming import jobs
 
-VOCAB_SIZE = 32_000
 BLOCK_SIZE = 256
 BATCH_SIZE = 100
 SHARDS = 3
 TRUNCATE_AT = 64
+SMALL_HEAD = 1_000
 MAX_LENGTH = 1024
 TRAIN_BATCH = 8
 HEAD_TRAIN, HEAD_VALIDATION = 50, 10
@@ -95,12 +95,9 @@ def dialogs(spark: SparkSession, sf: str) -> DataFrame:
     return D.turns_to_dialog(conversations(spark, sf))
 
 
-def split_dialogs(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
-    """Dialogs with split and position; unless ``whole``, only the turns a sample can reach."""
-    turns = conversations(spark, sf)
-    if not whole:
-        turns = D.first_turns(turns, MAX_LENGTH)
-    return P.head_percent_split(G.global_position(D.turns_to_dialog(turns), "conv_id"), 5)
+def split_dialogs(spark: SparkSession, sf: str) -> DataFrame:
+    """Dialogs with split and position."""
+    return P.head_percent_split(G.global_position(dialogs(spark, sf), "conv_id"), 5)
 
 
 _made: dict[tuple, object] = {}
@@ -121,19 +118,12 @@ def full_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
     return once(spark, "full", sf, make)
 
 
-def doc_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
-    def make():
-        return V.Vocabulary(full_vocab(spark, sf).table.where(F.col("id") < VOCAB_SIZE))
-
-    return once(spark, "documents", sf, make)
-
-
 def chat_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
     def make():
         prompts = dialogs(spark, sf).select(
             render_prompt(F.col("dialog"), SYSTEM_PROMPT).alias("text")
         )
-        return V.Vocabulary(materialise(V.build_vocab(prompts, size=VOCAB_SIZE), "vocabulary"))
+        return V.Vocabulary(materialise(V.build_vocab(prompts), "vocabulary"))
 
     return once(spark, "chat", sf, make)
 
@@ -146,7 +136,7 @@ def packed(spark: SparkSession, sf: str) -> chat.Packed:
 
 def doc_tokens(spark: SparkSession, sf: str, batch_size: int | None = BATCH_SIZE) -> DataFrame:
     return corpus.token_batches(
-        split_texts(spark, sf), doc_vocab(spark, sf), batch_size=batch_size
+        split_texts(spark, sf), full_vocab(spark, sf), batch_size=batch_size
     )
 
 
@@ -354,6 +344,14 @@ def global_position(spark, sf):
     return G.global_position(rows, ["n_chars", "doc_id"], parts=["lang"], descending=["n_chars"])
 
 
+@query
+def position_nullable_part(spark, sf):
+    """Positions within parts of which one is null."""
+    part = F.nullif(F.col("lang"), F.lit("de")).alias("part")
+    rows = documents(spark, sf).select("doc_id", part, "n_chars")
+    return G.global_position(rows, ["n_chars", "doc_id"], parts=["part"], descending=["n_chars"])
+
+
 @query
 def token_offsets(spark, sf):
     rows = split_texts(spark, sf)
@@ -441,11 +439,18 @@ def tokenize_docs(spark, sf):
     )
 
 
+@query
+def tokenize_small_head(spark, sf):
+    """The ids of all but the most frequent tokens come from the join with the tail."""
+    vocab = V.Vocabulary(full_vocab(spark, sf).table, head=SMALL_HEAD)
+    return _token_digest(K.tokenize(texts(spark, sf), vocab, keep=["doc_id"]))
+
+
 @query
 def tokenize_truncated(spark, sf):
     return _token_digest(
         K.tokenize(
-            texts(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], max_length=TRUNCATE_AT
+            texts(spark, sf), full_vocab(spark, sf), keep=["doc_id"], max_length=TRUNCATE_AT
         )
     )
 
@@ -453,7 +458,7 @@ def tokenize_truncated(spark, sf):
 @query
 def tokenize_with_bos(spark, sf):
     return _token_digest(
-        K.tokenize(texts(spark, sf), doc_vocab(spark, sf), keep=["doc_id"], add_bos=True)
+        K.tokenize(texts(spark, sf), full_vocab(spark, sf), keep=["doc_id"], add_bos=True)
     )
 
 
@@ -540,7 +545,7 @@ def pack_dialogs(spark, sf):
 
 @query
 def merge_packs(spark, sf):
-    rows = split_dialogs(spark, sf, whole=True)
+    rows = split_dialogs(spark, sf)
     return C.merge_packs(rows, packed(spark, sf).packs).select(
         "split", "pack_id", digest_dialog(F.col("dialog")).alias("dialog_md5"), size_of("dialog").alias("turns")
     )
@@ -553,8 +558,10 @@ def pack_violations(spark, sf):
 
 @query
 def pack_coverage(spark, sf):
-    done = packed(spark, sf)
-    return C.pack_coverage(done.lengths, done.packs)
+    # Against the conversations of the input, not what the packing was given.
+    given = conversations(spark, sf).select("conv_id").distinct()
+    given = P.head_percent_split(G.global_position(given, "conv_id"), 5)
+    return C.pack_coverage(given, packed(spark, sf).packs)
 
 
 @query
@@ -575,7 +582,7 @@ def chat_samples(spark, sf):
 
 @query
 def collate_causal(spark, sf):
-    tokens = K.tokenize(split_texts(spark, sf), doc_vocab(spark, sf), max_length=BLOCK_SIZE)
+    tokens = K.tokenize(split_texts(spark, sf), full_vocab(spark, sf))
     return batch_digest(L.collate_causal(tokens, TRAIN_BATCH, SPECIALS.pad_id))
 
 
@@ -668,6 +675,6 @@ def stream_group_texts(spark, sf):
     rows = jobs.stream_corpus(spark, path, spark.read.parquet(path).schema)
     out = scratch_path(spark, "stream-blocks")
     jobs.stream_group_texts(
-        rows, doc_vocab(spark, sf), BLOCK_SIZE, out, scratch_path(spark, "stream-state")
+        rows, full_vocab(spark, sf), BLOCK_SIZE, out, scratch_path(spark, "stream-state")
     )
     return block_digest(spark.read.parquet(out))

@@ -27,6 +27,7 @@ def stream_corpus(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A plain path must be a folder; a glob that matches just this path may also be a file.
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -72,9 +73,7 @@ def stream_tokenize(
     key: str = "doc_id",
     text: str = "text",
 ) -> StreamingQuery:
-    """Token ids of every row; a vocabulary with a tail is joined per micro-batch."""
-    if vocab.tail is None:
-        return run_to_parquet(tokenize(df, vocab, text, keep=[key]), out, checkpoint)
+    """Token ids of every row, in one folder per micro-batch whatever the vocabulary's size."""
     return run_per_batch(
         df, lambda rows, _: tokenize(rows, vocab, text, keep=[key]), out, checkpoint
     )
