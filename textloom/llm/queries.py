@@ -103,3 +103,78 @@ def op4_ngram_jaccard(spark, sf):
     return joined.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
+
+
+_REST = "substr(url, strpos(url, '://') + 3)"
+ORACLES["op3_url_filter"] = f"""WITH parts AS (
+  SELECT page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN lower(regexp_extract({_REST}, '^[^/?#]*')) ELSE '' END AS host,
+         CASE WHEN strpos(url, '://') > 0 THEN regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules AS (SELECT * FROM (VALUES
+  ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/'))
+  AS r(verdict, rhost, rpath)),
+fits AS (
+  SELECT p.page_id, r.rhost || r.rpath AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rhost || r.rpath) DESC) AS k
+  FROM parts p JOIN rules r
+    ON (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1"""
+
+ORACLES["op2_warc_bundles"] = """WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+         octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM firsts"""
+
+_WHITE = r"[\x20\x09-\x0D]"
+_LINE = rf"regexp_replace(line, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+ORACLES["op9_line_quality"] = rf"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM texts)),
+windows AS (
+  SELECT doc_id, i, [w, lead(w, 1) OVER k, lead(w, 2) OVER k, lead(w, 3) OVER k, lead(w, 4) OVER k] AS win,
+         lead(i, 4) OVER k AS last
+  FROM words WINDOW k AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows WHERE last IS NOT NULL)
+  WHERE n > 1),
+covered AS (
+  SELECT doc_id, sum(least(5, coalesce(next - i, 5)))::BIGINT AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM twice) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM words GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
+bare AS (SELECT doc_id, line, {_LINE} AS b FROM lines),
+judged AS (
+  SELECT doc_id, line, b, length(regexp_replace(b, '{_WHITE}', '', 'g')) AS chars,
+         (length(b) <= {quality.NOTICE_CHARS} AND (
+            regexp_matches(b, '{quality.NAVIGATION}') OR regexp_matches(b, '{quality.BOILERPLATE}')
+            OR (len(regexp_extract_all(b, '[^\x20\x09-\x0D]+')) <= {quality.SHORT_LINE_WORDS}
+                AND NOT regexp_matches(b, '{quality.CLOSED.replace("'", "''")}'))))
+         OR 100 * (length(b) - length(regexp_replace(b, '[#*$%&|<>]', '', 'g')))
+            > {quality.MAX_SYMBOL_PERCENT} * length(b) AS failing
+  FROM bare WHERE b <> ''),
+kept_lines AS (
+  SELECT doc_id, sum(CASE WHEN failing THEN chars ELSE 0 END)::BIGINT AS lost,
+         (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines
+  FROM judged GROUP BY doc_id),
+measured AS (
+  SELECT t.doc_id, coalesce(c.n_words, 0)::BIGINT AS n_words, coalesce(c.word_chars, 0)::BIGINT AS word_chars,
+         (length(t.text) - length(regexp_replace(t.text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(k.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(k.lost, 0) AS lost
+  FROM texts t LEFT JOIN counts c USING (doc_id) LEFT JOIN covered r USING (doc_id)
+  LEFT JOIN kept_lines k USING (doc_id)),
+based AS (
+  SELECT *, n_words < {quality.MIN_WORDS}
+            OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost <= {quality.MAX_LOST_PERCENT} * word_chars AS kept
+FROM based"""
