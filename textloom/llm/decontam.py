@@ -196,14 +196,14 @@ def decontaminate(
     inner = [f"_k{i}" for i in range(len(keep))]
     rows = df.select(
         *[F.col(c).alias(k) for c, k in zip(keep, inner, strict=True)],
-        F.col(text).alias("_read"),
+        *([] if text in keep else [F.col(text).alias("_read")]),
         F.lit(0).cast("long").alias("n_hits"),
         F.lit(None).cast("long").alias("item_id"),
     )
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
     for block in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block) if blocks > 1 else windows
-        rows = rows.mapInArrow(_probe(_table(part), len(keep), last=block == blocks - 1), schema)
+        rows = rows.mapInArrow(_probe(_table(part), list(keep).index(text) if text in keep else len(keep)), schema)
     return rows.select(
         *[F.col(k).alias(c) for c, k in zip(keep, inner, strict=True)],
         "n_hits",
@@ -228,14 +228,14 @@ def _table(part: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarra
     return table
 
 
-def _probe(table: dict, kept: int, last: bool):
+def _probe(table: dict, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         for batch in batches:
-            for first, column in pieces(batch.column(kept)):
+            for first, column in pieces(batch.column(place)):
                 taken = batch.slice(first, len(column))
-                hits = taken.column(kept + 1).to_numpy(zero_copy_only=False).copy()
-                items = [[] if i is None else [i] for i in taken.column(kept + 2).to_pylist()]
+                hits = taken.column("n_hits").to_numpy(zero_copy_only=False).copy()
+                items = [[] if i is None else [i] for i in taken.column("item_id").to_pylist()]
                 for length, (known, keys, ids) in table.items():
                     row, window, spans, at, (value, kind) = templates.windows(column, length)
                     near = np.minimum(np.searchsorted(known, window), len(known) - 1)
@@ -250,8 +250,7 @@ def _probe(table: dict, kept: int, last: bool):
                 best = [min((i for i in found if i >= 0), default=None) for found in items]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *taken.columns[:kept],
-                        pa.nulls(len(column), pa.string()) if last else column.cast(pa.string()),
+                        *taken.columns[:-2],
                         pa.array(hits, pa.int64()),
                         pa.array(best, pa.int64()),
                     ],

@@ -182,11 +182,12 @@ def score(
     """``keep, severity, grade, toxic``: expected severity, rounded to a grade, of every row."""
     more = [("severity", T.DoubleType()), ("grade", T.LongType()), ("toxic", T.BooleanType())]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(*m) for m in more])
+    place = list(keep).index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(FOLDED_VALUES)
         for batch in batches:
-            for at, column in pieces(batch.column(len(keep))):
+            for at, column in pieces(batch.column(place)):
                 severity = model.severity(column, hasher)
                 taken = batch.slice(at, len(column))
                 yield pa.RecordBatch.from_arrays(
@@ -199,5 +200,6 @@ def score(
                     names=[*keep, *(m[0] for m in more)],
                 )
 
-    # The text comes last under a name of its own, as it may be kept as well.
-    return df.select(*keep, F.col(text).alias("_read")).mapInArrow(run, schema)
+    # A text that is kept anyway is read from there, and not sent twice.
+    read = [] if text in keep else [F.col(text).alias("_read")]
+    return df.select(*keep, *read).mapInArrow(run, schema)
