@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import bpe, decontam, htmltext, jaccard, pii, quality, toxicity, urlfilter, warc, wordpiece
+from textloom.llm.words import bounded_batches
 from textloom.sources.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,10 +29,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf}/pages.parquet")
 
 

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+# Rows of an Arrow batch: whole texts are long, and both sides hold a batch in memory.
+BATCH_ROWS = 1_000
 
 _RANDOM = np.random.default_rng(20240229)
 BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -28,6 +30,13 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 
 
+def bounded_batches(spark) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, if they are larger or unbounded."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
