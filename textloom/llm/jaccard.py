@@ -42,8 +42,11 @@ from textloom.llm.components import components
 from textloom.llm.words import STEPS, Hasher, mix, pieces, shingles, signed, words
 from textloom.sources.scratch import materialise
 
-# Chunks of signatures; groups of more chunks are linked within before they are pruned.
-SIGNATURE_CHUNK, MAX_SIGNATURE_CHUNK, PRUNED_CHUNKS = 256, 1024, 8
+# Chunks of signatures, by rows and by bytes; groups of more chunks are linked within before they are pruned.
+SIGNATURE_CHUNK, MAX_SIGNATURE_CHUNK, PRUNED_CHUNKS = 2048, 2048, 8
+SIGNATURE_BYTES = 1 << 23
+# Node pairs of a traversal that are looked at together.
+FRONTIER = 1 << 13
 # Bits of a signature for each n-gram, for the first and the second round of pruning.
 COARSE, FINE = 2, 8
 SPARE = 2  # ranges beyond the greatest difference
@@ -278,25 +281,37 @@ def _children(x: np.ndarray, y: np.ndarray, na: int, nb: int, down_a: bool, down
     return left[inside], right[inside]
 
 
-def candidates(a: Tree, b: Tree, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Leaf pairs that the dual traversal leaves; of a tree with itself each pair once."""
-    la, lb = a.height, b.height
-    x, y = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    while True:
+def candidates(a: Tree, b: Tree, t: Threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Leaf pairs that the dual traversal leaves, in blocks; of a tree with itself each pair once.
+
+    Depth first, ``FRONTIER`` node pairs at a time, so that memory does not follow the number of pairs.
+    """
+    todo = [(a.height, b.height, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while todo:
+        la, lb, x, y = todo.pop()
+        if len(x) > FRONTIER:
+            todo.append((la, lb, x[FRONTIER:], y[FRONTIER:]))
+            x, y = x[:FRONTIER], y[:FRONTIER]
         keep = _hopeful(a, b, la, lb, x, y, t)
         x, y = x[keep], y[keep]
-        if (la, lb) == (0, 0) or not len(x):
-            return x, y
+        if not len(x):
+            continue
+        if (la, lb) == (0, 0):
+            yield x, y
+            continue
         down_a, down_b = la > 0 and la >= lb, lb > 0 and lb >= la
         la, lb = la - down_a, lb - down_b
         x, y = _children(x, y, len(a.low[la]), len(b.low[lb]), down_a, down_b)
         if a is b:
             once = x <= y if la else x < y
             x, y = x[once], y[once]
+        todo.append((la, lb, x, y))
 
 
-def hopeful_pairs(packed: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray | None, t: Threshold):
-    """Pairs of rows of different groups that the traversal leaves.
+def hopeful_pairs(
+    packed: np.ndarray, sizes: np.ndarray, group: np.ndarray, side: np.ndarray | None, t: Threshold
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of different groups that the traversal leaves, in blocks.
 
     Without ``side`` it is that of one tree with itself, else of the trees of side 0 and side 1.
     """
@@ -304,12 +319,12 @@ def hopeful_pairs(packed: np.ndarray, sizes: np.ndarray, group: np.ndarray, side
     for of in (0, 1) if side is not None else (None,):
         at = np.arange(len(sizes)) if of is None else np.flatnonzero(side == of)
         if not len(at):
-            return at, at
+            return
         at = at[np.argsort(sizes[at], kind="stable")]
         halves.append((at, Tree(packed[at], sizes[at], group[at])))
     (left, a), (right, b) = halves[0], halves[-1]
-    x, y = candidates(a, b, t)
-    return left[x], right[y]
+    for x, y in candidates(a, b, t):
+        yield left[x], right[y]
 
 
 def link(
@@ -321,7 +336,6 @@ def link(
     """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     packed = stacked([signature(s) for s in sets])
-    x, y = hopeful_pairs(packed, sizes, group, side, t)
     _, root = np.unique(group, return_inverse=True)
     parent = list(range(int(root.max()) + 1))
 
@@ -332,7 +346,8 @@ def link(
         return k
 
     found, root = [], root.tolist()
-    for i, j in zip(x.tolist(), y.tolist(), strict=True):
+    pairs = hopeful_pairs(packed, sizes, group, side, t)
+    for i, j in (pair for x, y in pairs for pair in zip(x.tolist(), y.tolist(), strict=True)):
         p, q = find(root[i]), find(root[j])
         if p != q:
             small, large = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
@@ -374,7 +389,7 @@ def per_unit(rows: DataFrame, columns: list[str], solve, schema: str) -> DataFra
 
 
 def prune_units(rows: DataFrame, t: Threshold) -> DataFrame:
-    """``anchor, s1, s2`` of rows ``u1, u2, u3, side, grp, s1, s2, n, signature`` with a hopeful partner."""
+    """``anchor, s1, s2, n`` of rows ``u1, u2, u3, side, grp, s1, s2, n, signature`` with a hopeful partner."""
 
     def solve(unit: pa.Table) -> pa.RecordBatch | None:
         side, grp, s1, s2, n = (unit[c].to_numpy() for c in ("side", "grp", "s1", "s2", "n"))
@@ -384,15 +399,17 @@ def prune_units(rows: DataFrame, t: Threshold) -> DataFrame:
         raw = unit["signature"].take(pa.array(first)).to_pylist()
         packed = stacked([np.frombuffer(r, dtype=np.uint64) for r in raw])
         two = side[first] if side.any() else None
-        x, y = hopeful_pairs(packed, n[first], grp[first], two, t)
-        kept = first[np.unique(np.concatenate((x, y)))]
+        found = np.zeros(len(first), dtype=bool)
+        for x, y in hopeful_pairs(packed, n[first], grp[first], two, t):
+            found[x] = found[y] = True
+        kept = first[found]
         anchor = np.full(len(kept), unit["u1"][0].as_py(), dtype=np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor), pa.array(s1[kept]), pa.array(s2[kept])], names=["anchor", "s1", "s2"]
+            [pa.array(anchor), *(pa.array(c[kept]) for c in (s1, s2, n))], names=["anchor", "s1", "s2", "n"]
         )
 
     columns = ["side", "grp", "s1", "s2", "n", "signature"]
-    return per_unit(rows, columns, solve, "anchor long, s1 long, s2 long").distinct()
+    return per_unit(rows, columns, solve, "anchor long, s1 long, s2 long, n long").distinct()
 
 
 def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
@@ -458,26 +475,32 @@ def _of_classes(
     return materialise(found.join(wanted.select("s1", "s2"), ["s1", "s2"], "left_semi"), name)
 
 
-def _pruned(rows: DataFrame, signatures: DataFrame, t: Threshold) -> DataFrame:
-    """``anchor, s1, s2``: the members of each group less those that no signature gives a partner.
+def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold) -> DataFrame:
+    """``anchor, s1, s2, n``: the members of each group less those that no signature gives a partner.
 
     Groups are cut into chunks, and all pairs of chunks are traversed, while they are few; larger
     groups stay as they are.
     """
     zero = F.lit(0).cast("long")
-    plan = rows.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / SIGNATURE_CHUNK).alias("chunks"))
+    # A signature has less than twice as many bits as asked for, or 256.
+    size = F.greatest(F.lit(32), F.col("n") * per_gram / 4)
+    plan = rows.groupBy("anchor").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / SIGNATURE_CHUNK), F.ceil(F.sum(size) / SIGNATURE_BYTES)
+        ).alias("chunks")
+    )
     placed = rows.join(materialise(plan, "chunks"), "anchor")
     few = placed.where(F.col("chunks") <= PRUNED_CHUNKS).select(
-        F.col("anchor").alias("u1"), "s1", "s2",
+        F.col("anchor").alias("u1"), "s1", "s2", "n",
         F.pmod(F.xxhash64("s1"), F.col("chunks")).alias("chunk"),
         F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("other"),
     )
     units = few.select(
         "u1", F.least("chunk", "other").alias("u2"), F.greatest("chunk", "other").alias("u3"),
-        zero.alias("side"), F.xxhash64("s1", "s2").alias("grp"), "s1", "s2",
+        zero.alias("side"), F.xxhash64("s1", "s2").alias("grp"), "s1", "s2", "n",
     )
-    kept = prune_units(units.join(signatures, ["s1", "s2"]), t)
-    many = placed.where(F.col("chunks") > PRUNED_CHUNKS).select("anchor", "s1", "s2")
+    kept = prune_units(units.join(signatures.drop("n"), ["s1", "s2"]), t)
+    many = placed.where(F.col("chunks") > PRUNED_CHUNKS).select("anchor", "s1", "s2", "n")
     return materialise(kept.unionByName(many), "pruned")
 
 
@@ -491,20 +514,19 @@ def _links(df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t:
     own = stars.select("anchor").distinct().withColumn("s1", F.col("anchor"))
     grouped = own.unionByName(stars.select("anchor", F.col("member").alias("s1")))
     wanted = materialise(classes.join(grouped.select("s1").distinct(), "s1"), "candidates")
-    rows = materialise(grouped.join(wanted.select("s1", "s2"), "s1"), "members")
+    rows = materialise(grouped.join(wanted.select("s1", "s2", "n"), "s1"), "members")
     for per_gram in (COARSE, FINE):
         signatures = _of_classes(df, wanted, size, id, text, "signature", lambda g, k=per_gram: signature(g, k))
-        rows = _pruned(rows, signatures, t)
+        rows = _pruned(rows, signatures, per_gram, t)
         if rows.isEmpty():
             return None
         left = rows.select("s1", "s2").distinct()
         wanted = materialise(wanted.join(left, ["s1", "s2"], "left_semi"), "candidates")
     sets = _of_classes(df, wanted, size, id, text, "grams", lambda g: g)
     # Chunks of a group: by its number of members and of n-grams.
-    sized = rows.join(sets.select("s1", "s2", "n"), ["s1", "s2"])
     per_chunk = F.least(F.greatest(F.col("m") / 256, F.lit(MIN_CHUNK)), F.lit(MAX_CHUNK))
     plan = (
-        sized.groupBy("anchor")
+        rows.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("grams"))
         .select(
             "anchor",
