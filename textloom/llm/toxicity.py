@@ -171,9 +171,13 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     rows = sample.mapInArrow(run, "toxic boolean, hashes array<long>, counts array<long>").toArrow()
     if not rows.num_rows:
         return no_model()
-    hashes = [np.array(h, dtype=np.int64).view(np.uint64) for h in rows["hashes"].to_pylist()]
-    counts = [np.array(c, dtype=np.int64) for c in rows["counts"].to_pylist()]
-    return fit_ordinal(hashes, counts, np.array(rows["toxic"].to_pylist(), dtype=bool))
+    # Views of the Arrow buffers: lists of Python numbers would take some times their size.
+    hashes = [h.values.to_numpy().view(np.uint64) for h in rows["hashes"]]
+    counts = [c.values.to_numpy() for c in rows["counts"]]
+    model = fit_ordinal(hashes, counts, np.array(rows["toxic"].to_pylist(), dtype=bool))
+    del rows, hashes, counts
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(
