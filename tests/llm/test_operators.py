@@ -206,6 +206,22 @@ def test_one_document_of_each_group_stays(spark):
     assert jaccard.keep_first(df.limit(0)).count() == 0
 
 
+def test_unlinked_documents_with_equal_or_null_ids_stay(spark):
+    rows = [
+        (7, "one two three four five six", "a"), (7, "red green blue white black grey", "b"),
+        (None, "north south east west up down", "c"), (None, "spring summer autumn winter day night", "d"),
+        # Linked texts: one of each pair stays, whatever the ids.
+        (8, "cat dog cow pig hen fox owl bat", "e"), (8, "Cat dog cow pig hen fox owl bat", "e"),
+        (None, "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 p11 p12 p13 p14 p15", "f"),
+        (None, "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 p11 p12 p13 p14", "f"), (None, "", "g"), (7, None, "h"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n string").repartition(3)
+    got = jaccard.keep_first(df)
+    assert sorted(r.n for r in got.collect()) == list("abcdefgh")
+    labels = {r.label for r in jaccard.join_components(df, 5, 80, 100).where("n > 0").collect()}
+    assert len(labels) == 6
+
+
 def test_decontamination_finds_templates(spark):
     item = "If Ann buys 12 kg of apples at the market and Bob sells 7 kg of pears to Ann how many kg remain"
     same = "Some words before it. If Carla buys 35 kg of apples at the market and Dora sells 9 kg of pears to Carla how many kg remain there"

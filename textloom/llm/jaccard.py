@@ -601,10 +601,11 @@ def _across(rows: DataFrame) -> DataFrame:
 def join_components(
     df: DataFrame, size: int = 3, num: int = 90, den: int = 100, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``id, n, s1, s2, component``: for every row its set and the smallest id linked with it.
+    """``id, n, s1, s2, component, label``: for every row its set and the smallest id linked with it.
 
     Rows are linked if ``den * intersection >= num * union`` holds for their sets of n-grams of
-    ``size`` words.
+    ``size`` words.  Only ``label``, the digest of the component's smallest class, tells components
+    apart whatever the ids; it is null for a row without n-grams.
     """
     t = Threshold(num, den)
     measured = materialise(measure(df, size, id, text), "measured")
@@ -616,16 +617,20 @@ def join_components(
         nodes = linked.select(F.col("node.s1").alias("s1"), F.col("node.s2").alias("s2"), "label")
         named = materialise(classes.join(nodes, ["s1", "s2"]), "nodes")
         smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
-        named = named.join(materialise(smallest, "names"), "label").select("n", "s1", "s2", "component")
+        named = named.join(materialise(smallest, "names"), "label").select("n", "s1", "s2", "component", "label")
         classes = classes.join(materialise(named, "named"), ["n", "s1", "s2"], "left")
-        classes = materialise(
-            classes.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component")), "classes"
+        # A component of null ids only has no smallest id, but a label.
+        classes = classes.select(
+            "n", "s1", "s2",
+            F.when(F.col("label").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
+            F.coalesce("label", F.struct("s1", "s2")).alias("label"),
         )
+        classes = materialise(classes, "classes")
     else:
-        classes = classes.withColumnRenamed("rep", "component")
+        classes = classes.withColumnRenamed("rep", "component").withColumn("label", F.struct("s1", "s2"))
     joined = measured.join(classes, ["n", "s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return joined.select("id", "n", "s1", "s2", component.alias("component"))
+    return joined.select("id", "n", "s1", "s2", component.alias("component"), "label")
 
 
 def keep_first(
@@ -634,7 +639,8 @@ def keep_first(
     """One document of each component: the row with the smallest id, with all its columns.
 
     With unique ids, the ids that go are joined with the documents.  Repeated or null ids make the
-    digest of the set part of the key, and equal rows stay once.
+    digest of the set part of the key, and equal rows stay once; unlinked rows all stay, also those
+    that share an id or have none.
     """
     found = materialise(join_components(df, size, num, den, id, text), "joined")
     rows, ids, distinct = found.agg(F.count(F.lit(1)), F.count("id"), F.count_distinct("id")).first()
@@ -662,7 +668,8 @@ def _keep_of_repeated(df: DataFrame, found: DataFrame, stays, size: int, id: str
 
     own = f"_c{df.columns.index(id)}"
     # Of a component, one class stays: that of the smallest digest among those with the smallest id.
-    first = found.where(stays & (F.col("n") > 0)).groupBy(F.col("component").alias("_of")).agg(
+    # Unlinked texts may share their id, or have none, so the label tells the components apart.
+    first = found.where(stays & (F.col("n") > 0)).groupBy("label", F.col("component").alias("_of")).agg(
         F.min(F.struct("n", "s1", "s2")).alias("first")
     )
     chosen = materialise(first.select("_of", "first.n", "first.s1", "first.s2"), "chosen")
