@@ -239,6 +239,28 @@ def test_decontamination_finds_templates(spark):
     assert not any(r.contaminated for r in decontam.decontaminate(table(spark, lines), none).collect())
 
 
+def test_decontamination_finds_verbatim_and_recased_copies(spark):
+    items = [
+        "If Ann buys 12 kg of apples at the market and Bob sells 7 kg of pears to Ann how many kg remain",
+        "Who wrote Hamlet?", "Solve 3x + 7 = 22", "Ann Bob Carla Dora Emil Fritz", "Wie heißt der Löwe ÜBER dem Tor?",
+        " ".join(str(k * k) for k in range(3, 20)), "Kitap ağaç Σίσυφος Война и мир", "5 6 7", "Yes", "Name three cities",
+    ]
+    table_of = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    windows = decontam.benchmark_windows(table_of).cache()
+    recased = (str, str.lower, str.title, lambda t: t.replace("ß", "\0").upper().replace("\0", "ß"))
+    around = ("{}", "Before it, some words.\n{}\nAnd others after it", "- {}", "\n\u2022 {}\n", "\u2022{}", "\u201c{}\u201d", "* {}")
+    copies = [(k, way.format(case(t))) for k, t in enumerate(items) for way in around for case in recased]
+    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(copies)], "doc_id long, item long, text string").repartition(3)
+    got = decontam.decontaminate(df, windows, keep=["item", "text"]).collect()
+    assert [r.text for r in got if r.item_id != r.item] == []
+    clean = [
+        "Yes, that is so", "4 5 6 7 8", "Who has written Hamlet?", "Solve 3x + 7 = 23", "Bob Ann Carla Dora Emil Fritz",
+        "name two cities", "if bob buys 12 kg of apples at the market and ann sells 7 kg of plums", "\u201c", "\u00a0", "É",
+    ]
+    df = spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")
+    assert [r.text for r in decontam.decontaminate(df, windows, keep=["text"]).where("contaminated").collect()] == []
+
+
 def test_blocks_of_the_benchmark_give_the_same(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     windows = decontam.benchmark_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet")).cache()
