@@ -342,6 +342,35 @@ def test_main_text_of_every_page(spark, sf_dir):
     assert htmltext.extract(df, model).count() == len(odd)
 
 
+def test_elements_without_an_end_tag_swallow_nothing():
+    def texts(page):
+        return [b.text for b in htmltext.blocks_of(page)]
+
+    article = "<article><h1>Head</h1><p>First.</p></article>"
+    for lead in (
+        "<datalist><option value=a><option value=b></datalist>", "<button>Menu", "<div><button>Menu</div>",
+        "<select><option>One<option>Two", "<div><select><optgroup><option>One</div>", "<noscript>Turn it on",
+        "<template>x", "<svg><path d=1><text>Logo</text>", "<datalist><option>a<option>b</option></datalist>",
+        "<button>Menu<nav></nav>", "<div><svg><title>t</title></div>",
+    ):
+        assert texts(lead + article) == ["Head", "First."], lead
+        assert texts(lead + article + "<button>Close</button><select><option>z</select>") == ["Head", "First."], lead
+    # With an end tag of their own they hide all they hold, as before.
+    for whole in (
+        "<noscript><p>Turn it on</p></noscript>", "<template><div>a</div><template>b</template><p>c</p></template>",
+        "<button><div>Menu</div></button>", "<select><option>One<option>Two</select>", "<template></div><p>x</p></template>",
+        "<svg><g><text>Logo</text></g></svg>", "<button/>", "<template><script>'<template>'</script><p>x</p></template>",
+    ):
+        assert texts("<div>" + whole + article + "</div>") == ["Head", "First."], whole
+    assert texts("<p>Click <button>here</button> now.</p>") == ["Click now."]
+    assert len(htmltext.hidden_ends("<button>" * 20000 + "</div>" * 20000)) == 0
+    model = htmltext.fit()
+    body = "<p>" + "A sentence of the article, long enough to be told from a menu. " * 3 + "</p>"
+    page = f"<html><body>{{}}<article><h1>The head of it</h1>{body}{body}</article></body></html>"
+    for lead in ("<datalist><option value=a><option value=b></datalist>", "<div><button>Menu</div>"):
+        assert htmltext.main_text(page.format(lead), model) == htmltext.main_text(page.format(""), model) != ""
+
+
 def test_viterbi_agrees_with_all_labellings():
     rng = np.random.default_rng(6)
     model = htmltext.ChainModel(rng.normal(size=htmltext.FEATURES), rng.normal(size=(2, 2)))

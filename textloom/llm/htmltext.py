@@ -9,7 +9,8 @@ The model is trained here, on ``TRAIN_PAGES`` labelled pages of many layouts tha
 seed, so that fitting does not depend on the input.
 
 Defined results: null and empty pages, and pages without an article, have an empty text; unclosed and
-stray tags are tolerated; rows with the same id or page are handled one by one; only ``keep`` and the
+stray tags are tolerated; a button, option, drawing or the like without an end tag ends at the next
+sibling or with its parent; rows with the same id or page are handled one by one; only ``keep`` and the
 html are read.
 """
 
@@ -48,7 +49,15 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr br".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp svg select option button".split())
+# Elements whose content is text up to their end tag, whatever it holds.
+RAW = frozenset("script style textarea title iframe xmp".split())
+# Elements that are never part of an article, but may have lost their end tag.
+HIDDEN = frozenset("noscript template svg select option button".split())
+HIDDEN_TAG = re.compile(rf"<(?:{'|'.join(sorted(HIDDEN))})\b", re.I)
+SVG = frozenset(
+    "g path rect circle ellipse line polyline polygon text tspan textpath defs use symbol mask clippath "
+    "lineargradient radialgradient stop filter pattern marker desc metadata image animate foreignobject".split()
+)
 CLOSES_ITSELF = frozenset("p li td th tr dt dd option".split())
 
 # Words of class, id and role by what they tell.
@@ -94,6 +103,57 @@ def _told(tag: str, attributes: str) -> frozenset[int]:
     return frozenset(found)
 
 
+def _tag(match: re.Match) -> tuple[str, bool, str]:
+    """Name, whether it is an end tag, and attributes; no name if it is not a tag."""
+    return (match[2] or match[5] or "").lower(), bool(match[1] or match[4]), match[3] or match[6] or ""
+
+
+def _after_raw(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def hidden_ends(page: str) -> dict[int, int]:
+    """Where the hidden elements that have an end tag of their own begin and end.
+
+    An end tag ends the innermost open element of its name, and all that are open inside it: those
+    have lost their own.  Only its own end tag, not one of a parent, ends a template.
+    """
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}
+    templates: list[dict[str, int]] = []
+    at = 0
+    while match := TOKEN.search(page, at):
+        at = match.end()
+        name, closing, attributes = _tag(match)
+        if not name or name in VOID or name in INLINE:
+            continue
+        if name in RAW:
+            if not closing and not attributes.endswith("/"):
+                at = _after_raw(page, name, at)
+        elif not closing:
+            if not (attributes.endswith("/") and (name in HIDDEN or name in SVG)):
+                stack.append((name, match.start()))
+                if name == "template":
+                    templates.append(opened)
+                    opened = {"template": 1}
+                else:
+                    opened[name] = opened.get(name, 0) + 1
+        elif opened.get(name):
+            while True:
+                top, start = stack.pop()
+                if top == "template":
+                    opened = templates.pop()
+                else:
+                    opened[top] -= 1
+                if top == name:
+                    break
+            if name in HIDDEN:
+                ends[start] = at
+    return ends
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order, with white space made plain and references decoded."""
     found: list[Block] = []
@@ -101,10 +161,12 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, frozenset[int], frozenset[int]]] = []
     parts: list[str] = []
     linked, in_link, at = 0, 0, 0
+    ends = hidden_ends(page) if HIDDEN_TAG.search(page) else {}
+    hidden = False  # within a hidden element without an end tag
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not hidden:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if in_link:
@@ -134,17 +196,23 @@ def blocks_of(page: str) -> list[Block]:
             break
         add(page[at : match.start()])
         at = match.end()
-        name = (match[2] or match[5] or "").lower()
+        name, closing, attributes = _tag(match)
         if not name:
             if match[0].startswith("<![CDATA["):
                 add(html.escape(match[0][9:].removesuffix("]]>"), quote=False))
             continue
-        closing = bool(match[1] or match[4])
-        attributes = match[3] or match[6] or ""
         if name in RAW:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                at = _after_raw(page, name, at)
+            continue
+        if name in HIDDEN:
+            if not closing and not attributes.endswith("/"):
+                if match.start() in ends:
+                    at = ends[match.start()]
+                else:
+                    hidden = True
+            continue
+        if hidden and name in SVG:
             continue
         if name in INLINE:
             if name == "br":
@@ -153,7 +221,7 @@ def blocks_of(page: str) -> list[Block]:
                 in_link = 0 if closing else 1
             continue
         flush()
-        in_link = 0
+        in_link, hidden = 0, False
         if closing:
             close(name)
         elif name not in VOID:
