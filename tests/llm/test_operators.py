@@ -180,6 +180,29 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch, setting):
     assert got == brute_components(rows, *setting)
 
 
+def test_jaccard_links_against_all_pairs(spark, monkeypatch):
+    for name, value in (("MIN_CHUNK", 8), ("MAX_CHUNK", 32), ("SIGNATURE_CHUNK", 8), ("PRUNED_CHUNKS", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = near_copies(9)
+    words = [re.findall(r"\S+", t or "") for _, t in rows]
+    sets = [frozenset(tuple(w[k : k + 3]) for k in range(max(1, len(w) - 2))) if w else frozenset() for w in words]
+    links, counts = set(), [0] * len(rows)
+    for a, b in ((a, b) for a in range(len(rows)) for b in range(len(rows)) if a != b and sets[a] and sets[b]):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 70 * (len(sets[a]) + len(sets[b]) - both):
+            counts[a] += 1
+            if sets[a] != sets[b]:
+                links.add((frozenset((sets[a], sets[b])), both))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.join_components(df, 3, 70, 100, counted=True).collect()
+    expected = sorted(((i, c) for (i, _), c in zip(rows, counts, strict=True)), key=repr)
+    assert sorted(((r.id, r.n_links) for r in got), key=repr) == expected
+    pairs = jaccard.join_links(df, 3, 70, 100).collect()
+    found = [(tuple(sorted(((p.a.s1, p.a.s2), (p.b.s1, p.b.s2)))), p.both) for p in pairs]
+    assert len(found) == len(set(found)) == len(links) > 0
+    assert sorted(p.both for p in pairs) == sorted(both for _, both in links)
+
+
 def test_no_linked_pair_misses_a_common_key():
     rng = np.random.default_rng(4)
     for num, den in ((90, 100), (80, 100), (70, 100)):

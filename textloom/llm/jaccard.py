@@ -21,7 +21,8 @@ counted before any shuffle.  The join of different sets has three steps.
    has none.
 
 The links found span the components of the exact join: pairs that are already connected are not
-compared again.  Sets are compared by 64-bit hashes, classes by 128 bits.
+compared again.  ``join_links``, and the numbers of links, compare all hopeful pairs instead: chunks of a
+group meet each other, and a pair counts in the smallest of the groups that it shares.  Sets are compared by 64-bit hashes, classes by 128 bits.
 
 Defined results: a null or empty text has no n-grams and is linked with nothing; a text of fewer words
 than an n-gram has its whole sequence as one; rows with repeated ids are rows of their own, and a
@@ -359,6 +360,32 @@ def link(
     return found
 
 
+def all_links(
+    sets: list[np.ndarray], group: np.ndarray, side: np.ndarray | None, t: Threshold
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A set, all it is linked with among its hopeful partners of a block, and the n-grams in common."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    packed = stacked([signature(s) for s in sets])
+    _, grams = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    marks = np.zeros(len(grams), dtype=bool)
+    for x, y in hopeful_pairs(packed, sizes, group, side, t):
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        at = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+        for i, partners in zip(x[at].tolist(), np.split(y, at[1:]), strict=True):
+            own = grams[starts[i] : starts[i + 1]]
+            marks[own] = True
+            if 4 * len(partners) >= len(sets):
+                both = np.add.reduceat(marks[grams], starts[:-1], dtype=np.int64)[partners]
+            else:
+                both = np.array([np.count_nonzero(marks[grams[starts[j] : starts[j + 1]]]) for j in partners.tolist()])
+            marks[own] = False
+            linked = t.den * both >= t.num * (sizes[i] + sizes[partners] - both)
+            if linked.any():
+                yield i, partners[linked], both[linked]
+
+
 UNIT = ["u1", "u2", "u3"]
 
 
@@ -437,6 +464,46 @@ def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
     return per_unit(rows, ["side", "grp", "s1", "s2", "grams"], solve, f"a {node}, b {node}")
 
 
+def exact_units(rows: DataFrame, t: Threshold, counted: bool) -> DataFrame:
+    """All links of rows ``u1, u2, u3, side, s1, s2, rows, anchors, grams``, each in one unit only.
+
+    Either ``s1, s2, links``, a class and the rows it is linked with in a unit, or ``a, b, both``.
+    """
+    node = "struct<s1: bigint, s2: bigint>"
+
+    def solve(unit: pa.Table) -> pa.RecordBatch | None:
+        side, s1, s2, weight = (unit[c].to_numpy() for c in ("side", "s1", "s2", "rows"))
+        # Without rows of side 0, or of side 1 in a unit of two chunks, there are no pairs.
+        across = unit["u2"][0].as_py() != unit["u3"][0].as_py()
+        if len(s1) < 2 or (across and side.min() == side.max()):
+            return None
+        sets = [np.frombuffer(r, dtype=np.uint64) for r in unit["grams"].to_pylist()]
+        here = unit["u1"][0].as_py()
+        # Groups before this one that a row is in: a pair that shares one of them is met there.
+        before = [frozenset(k for k in own if k < here) for own in unit["anchors"].to_pylist()]
+        links, found = np.zeros(len(s1), dtype=np.int64), []
+        for i, partners, both in all_links(sets, np.arange(len(s1)), side if side.any() else None, t):
+            if before[i]:
+                first = np.array([before[i].isdisjoint(before[j]) for j in partners.tolist()])
+                partners, both = partners[first], both[first]
+            if counted:
+                links[i] += weight[partners].sum()
+                links[partners] += weight[i]
+            elif len(partners):
+                found.append((np.full(len(partners), i), partners, both))
+        if counted:
+            some = np.flatnonzero(links)
+            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (s1, s2, links)], names=["s1", "s2", "links"])
+        if not found:
+            return None
+        i, j, both = (np.concatenate(c) for c in zip(*found, strict=True))
+        ends = [pa.StructArray.from_arrays([pa.array(s1[k]), pa.array(s2[k])], names=["s1", "s2"]) for k in (i, j)]
+        return pa.RecordBatch.from_arrays([*ends, pa.array(both)], names=["a", "b", "both"])
+
+    schema = "s1 long, s2 long, links long" if counted else f"a {node}, b {node}, both long"
+    return per_unit(rows, ["side", "s1", "s2", "rows", "anchors", "grams"], solve, schema)
+
+
 # ---- the join --------------------------------------------------------------------------------------
 
 
@@ -504,8 +571,10 @@ def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold)
     return materialise(kept.unionByName(many), "pruned")
 
 
-def _links(df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str) -> DataFrame | None:
-    """``node, label`` of the linked classes, or None if no two different sets are linked."""
+def _hopeful_members(
+    df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str
+) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """``anchor, s1, s2, n`` of the groups, and the signatures and sets, or None if nothing can be linked."""
     bits = key_bits(measured.agg(F.sum("n")).first()[0] or 0)
     stars = materialise(groups(routes(df, size, t, bits, text)), "groups")
     if stars.isEmpty():
@@ -522,7 +591,34 @@ def _links(df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t:
             return None
         left = rows.select("s1", "s2").distinct()
         wanted = materialise(wanted.join(left, ["s1", "s2"], "left_semi"), "candidates")
-    sets = _of_classes(df, wanted, size, id, text, "grams", lambda g: g)
+    return rows, signatures, _of_classes(df, wanted, size, id, text, "grams", lambda g: g)
+
+
+def _exact(rows: DataFrame, sets: DataFrame, classes: DataFrame, t: Threshold, counted: bool) -> DataFrame:
+    """``exact_units`` of all groups: every chunk of a group meets itself and every other one."""
+    zero = F.lit(0).cast("long")
+    plan = rows.groupBy("anchor").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / MAX_CHUNK), F.ceil(F.sum("n") / MAX_CHUNK_GRAMS)).alias("chunks")
+    )
+    anchors = rows.groupBy("s1", "s2").agg(F.collect_set("anchor").alias("anchors"))
+    known = classes.select("s1", "s2", "rows").join(materialise(anchors, "anchors"), ["s1", "s2"])
+    # Rows with repeated ids give a set several times.
+    known = known.join(sets.select("s1", "s2", "grams"), ["s1", "s2"]).dropDuplicates(["s1", "s2"])
+    known = materialise(known, "members")
+    placed = rows.join(materialise(plan, "chunks"), "anchor").select(
+        F.col("anchor").alias("u1"), "s1", "s2",
+        F.pmod(F.xxhash64("s1"), F.col("chunks")).alias("chunk"),
+        F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("other"),
+    )
+    units = placed.select(
+        "u1", F.least("chunk", "other").alias("u2"), F.greatest("chunk", "other").alias("u3"),
+        (F.col("chunk") > F.col("other")).cast("long").alias("side"), "s1", "s2",
+    )
+    return exact_units(units.join(known, ["s1", "s2"]), t, counted)
+
+
+def _links(rows: DataFrame, signatures: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """``node, label`` of the linked classes."""
     # Chunks of a group: by its number of members and of n-grams.
     per_chunk = F.least(F.greatest(F.col("m") / 256, F.lit(MIN_CHUNK)), F.lit(MAX_CHUNK))
     plan = (
@@ -598,22 +694,60 @@ def _across(rows: DataFrame) -> DataFrame:
     return outside.unionByName(whole)
 
 
-def join_components(
+def _classes(measured: DataFrame) -> DataFrame:
+    """``n, s1, s2, rep, rows``: the sets that are not empty, their smallest id and number of rows."""
+    classes = measured.where(F.col("n") > 0).groupBy("n", "s1", "s2")
+    return materialise(classes.agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
+
+
+def join_links(
     df: DataFrame, size: int = 3, num: int = 90, den: int = 100, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``a, b, both``: every linked pair of different sets once, with the n-grams in common.
+
+    ``a`` and ``b`` are structs of ``id, n, s1, s2``, with the smallest id of the rows that have the set.
+    """
+    t = Threshold(num, den)
+    measured = materialise(measure(df, size, id, text), "measured")
+    classes = _classes(measured)
+    found = _hopeful_members(df, measured, classes, size, t, id, text)
+    rep = measured.schema["id"].dataType.simpleString()
+    if found is None:
+        end = f"struct<id: {rep}, n: bigint, s1: bigint, s2: bigint>"
+        return df.sparkSession.createDataFrame([], f"a {end}, b {end}, both long")
+    links = materialise(_exact(found[0], found[2], classes, t, counted=False), "links")
+    for end in ("a", "b"):
+        named = classes.select(
+            F.struct("s1", "s2").alias(end), F.struct(F.col("rep").alias("id"), "n", "s1", "s2").alias(f"{end}_named")
+        )
+        links = links.join(named, end).drop(end).withColumnRenamed(f"{end}_named", end)
+    return links.select("a", "b", "both")
+
+
+def join_components(
+    df: DataFrame, size: int = 3, num: int = 90, den: int = 100, id: str = "doc_id", text: str = "text",
+    counted: bool = False,
 ) -> DataFrame:
     """``id, n, s1, s2, component, label``: for every row its set and the smallest id linked with it.
 
     Rows are linked if ``den * intersection >= num * union`` holds for their sets of n-grams of
     ``size`` words.  Only ``label``, the digest of the component's smallest class, tells components
-    apart whatever the ids; it is null for a row without n-grams.
+    apart whatever the ids; it is null for a row without n-grams.  If ``counted``, ``n_links`` is the
+    number of other rows that a row is linked with, rows of the same set included.
     """
     t = Threshold(num, den)
     measured = materialise(measure(df, size, id, text), "measured")
-    classes = materialise(
-        measured.where(F.col("n") > 0).groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes"
-    )
-    linked = _links(df, measured, classes, size, t, id, text)
-    if linked is not None:
+    classes = _classes(measured)
+    found = _hopeful_members(df, measured, classes, size, t, id, text)
+    links = F.col("rows") - 1
+    if counted and found is not None:
+        parts = materialise(_exact(found[0], found[2], classes, t, counted=True), "counts")
+        counts = materialise(parts.groupBy("s1", "s2").agg(F.sum("links").alias("links")), "counts")
+        classes = materialise(classes.join(counts, ["s1", "s2"], "left"), "classes")
+        links += F.coalesce("links", F.lit(0))
+    classes = classes.withColumn("n_links", links)
+    if found is not None:
+        linked = _links(*found, t)
         nodes = linked.select(F.col("node.s1").alias("s1"), F.col("node.s2").alias("s2"), "label")
         named = materialise(classes.join(nodes, ["s1", "s2"]), "nodes")
         smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
@@ -624,13 +758,15 @@ def join_components(
             "n", "s1", "s2",
             F.when(F.col("label").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
             F.coalesce("label", F.struct("s1", "s2")).alias("label"),
+            "n_links",
         )
         classes = materialise(classes, "classes")
     else:
         classes = classes.withColumnRenamed("rep", "component").withColumn("label", F.struct("s1", "s2"))
     joined = measured.join(classes, ["n", "s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return joined.select("id", "n", "s1", "s2", component.alias("component"), "label")
+    n_links = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if counted else []
+    return joined.select("id", "n", "s1", "s2", component.alias("component"), "label", *n_links)
 
 
 def keep_first(
