@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontam, htmltext, jaccard, pii, quality, toxicity, urlfilter, warc, wordpiece
+from textloom.llm import (
+    bpe, decontam, htmltext, jaccard, merkle, pii, quality, toxicity, urlfilter, warc, wordpiece,
+)
 from textloom.llm.words import bounded_batches
 from textloom.sources.scratch import materialise
 
@@ -111,6 +114,19 @@ def op4_ngram_jaccard(spark, sf):
     )
 
 
+@query
+def op11_merkle_manifest(spark, sf):
+    """Every document's proof in the manifest of all documents, and the root that a third tampered gives."""
+    id, text = F.col("doc_id"), F.col("text")
+    tampered = F.crc32(id.cast("string")) % 3 == 0
+    lowered = F.when(tampered, F.translate(text, ascii_uppercase, ascii_lowercase)).otherwise(text)
+    leaves = merkle.leaf_rows(
+        documents(spark, sf), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
+        claims={"text": lowered},
+    )
+    return merkle.audit(merkle.build(leaves)).withColumnRenamed("id", "doc_id")
+
+
 _REST = "substr(url, strpos(url, '://') + 3)"
 ORACLES["op3_url_filter"] = f"""WITH parts AS (
   SELECT page_id,
@@ -184,3 +200,58 @@ based AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 100 * lost <= {quality.MAX_LOST_PERCENT} * word_chars AS kept
 FROM based"""
+
+
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda x, z: xor(x >> 1, (x & 1) * 3988292384))))"""
+_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf(text: str) -> str:
+    values = [text if c == "text" else f"{c}::VARCHAR" for c in _COLUMNS]
+    parts = [f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+_LOWERED = f"CASE WHEN {_CRC32} % 3 = 0 THEN translate(text, '{ascii_uppercase}', '{ascii_lowercase}') ELSE text END"
+
+
+def _grown(name: str, start: str) -> str:
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 8, n)"""
+
+
+def _folded(name: str, nodes: str, start: str) -> str:
+    """Siblings and the digest of a changed leaf, level by level."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT f.doc_id, f.tree, f.level + 1, f.pos // 8, (f.n + 7) // 8,
+         f.proof || coalesce(string_agg(CASE WHEN v.pos <> f.pos THEN v.digest END, '' ORDER BY v.pos), ''),
+         sha256(string_agg(CASE WHEN v.pos = f.pos THEN f.digest ELSE v.digest END, '' ORDER BY v.pos))
+  FROM {name} f JOIN {nodes} v ON v.tree IS NOT DISTINCT FROM f.tree AND v.level = f.level AND v.pos // 8 = f.pos // 8
+  WHERE f.n > 1 GROUP BY f.doc_id, f.tree, f.level, f.pos, f.n, f.proof, f.digest)"""
+
+
+ORACLES["op11_merkle_manifest"] = f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang AS tree, {_leaf("text")} AS leaf, {_leaf(f"({_LOWERED})")} AS claimed FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{_grown("nodes", "SELECT tree, 0 AS level, pos, n, leaf AS digest FROM placed")},
+subroots AS (
+  SELECT tree AS lang, digest AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos,
+         count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_grown("crown", "SELECT 0 AS tree, 0 AS level, pos, n, subroot AS digest FROM subroots")},
+{_folded("inside", "nodes", "SELECT doc_id, tree, 0 AS level, pos, n, '' AS proof, claimed AS digest FROM placed")},
+{_folded("above", "crown", """SELECT i.doc_id, 0 AS tree, 0 AS level, s.pos, s.n, i.proof, i.digest
+  FROM inside i JOIN subroots s ON s.lang IS NOT DISTINCT FROM i.tree WHERE i.n = 1""")}
+SELECT p.doc_id, p.leaf, s.subroot, c.digest AS root, sha256(a.proof) AS proof_sha256,
+       a.digest AS folded_root, a.digest = c.digest AS verified
+FROM placed p JOIN above a ON a.doc_id = p.doc_id AND a.n = 1 JOIN crown c ON c.n = 1
+JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.tree"""
