@@ -26,8 +26,11 @@ def test_stages_follow_each_other(spark, sf_dir):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_covers_its_table(spark, sf_dir, name):
-    source = "pages" if any(x in name for x in ("op2", "op3", "op7")) else "documents"
+    source = "pages" if name.split("_")[0] in ("op2", "op3", "op7") else "documents"
+    rows = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    if name.startswith("op12"):
+        rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id").distinct()
     df = queries.QUERIES[name](spark, sf_dir)
-    assert df.count() == spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
+    assert df.count() == rows.count()
     if name in queries.ORACLES:
         assert oracle.actual(df) == oracle.expected(oracle.connect(sf_dir), queries.ORACLES[name])

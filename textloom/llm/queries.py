@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
-    bpe, decontam, htmltext, jaccard, merkle, pii, quality, toxicity, urlfilter, warc, wordpiece,
+    bpe, decontam, htmltext, jaccard, merkle, pii, quality, repair, simhash, toxicity, urlfilter, warc, wordpiece,
 )
 from textloom.llm.words import bounded_batches
 from textloom.sources.scratch import materialise
@@ -127,6 +127,26 @@ def op11_merkle_manifest(spark, sf):
     return merkle.audit(merkle.build(leaves)).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op12_conversation_repair(spark, sf):
+    """Faults, cheapest edits and repaired turns of every conversation, after damage by a checksum."""
+    bounded_batches(spark)
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    found = repair.report(repair.damage(turns), turns.select(F.col("conv_id").alias("conv")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+@query
+def op13_simhash_near_dedup(spark, sf):
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(documents(spark, sf))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        simhash.hexadecimal().alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 _REST = "substr(url, strpos(url, '://') + 3)"
 ORACLES["op3_url_filter"] = f"""WITH parts AS (
   SELECT page_id,
