@@ -1,8 +1,13 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from explain import exchanges, explained
 from textloom.operators import blocks as B
+from textloom.operators.tokens import token_length, tokenize
+from textloom.operators.vocab import Vocabulary, build_vocab
+from textloom.plans import corpus
 
 
 def plain_blocks(rows, block, batch):
@@ -102,3 +107,80 @@ def test_blocks_need_one_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     assert plan.count("Exchange hashpartitioning(split") == 1
     assert "SinglePartition" not in plan
+
+
+def text_rows(rng, n, longest, words=60):
+    return [" ".join(f"w{rng.randrange(words)}" for _ in range(rng.randrange(longest))) for _ in range(n)]
+
+
+def text_frame(spark, texts, split="train"):
+    rows = [(split, i, t, "x", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "split string, pos long, text string, joined string, lead int").repartition(4)
+
+
+@pytest.mark.parametrize("head, batch", [(10, 1), (10, 7), (10, 64), (10, None), (1 << 18, 7), (1 << 18, 300)])
+def test_blocks_of_texts_equal_blocks_of_ids(spark, monkeypatch, batch, head):
+    """Runs shorter than a batch, of whole batches, and with rare tokens only."""
+    monkeypatch.setattr(B, "RUN_ROWS", 20)
+    rng = random.Random(f"{head}/{batch}")
+    texts = text_rows(rng, 150, 30)
+    texts[3], texts[4], texts[5] = " ".join(f"w{i}" for i in range(400)), "", None
+    vocab = Vocabulary(build_vocab(text_frame(spark, texts[:120])), head=head)
+    for bos in (False, True):
+        rows = B.row_batches(text_frame(spark, texts), batch)
+        got = B.text_blocks(rows, vocab, 16, batch, add_bos=bos).collect()
+        ids = tokenize(text_frame(spark, texts), vocab, keep=["pos"], add_bos=bos).collect()
+        ids = [r.input_ids or [] for r in sorted(ids, key=lambda r: r.pos)]
+        assert {(r.batch_id, r.block_id): r.input_ids for r in got} == plain_blocks(ids, 16, batch)
+        assert len(got) == len(plain_blocks(ids, 16, batch)) and all(r.labels == r.input_ids for r in got)
+
+
+def test_blocks_of_texts_keep_splits_apart(spark, monkeypatch):
+    monkeypatch.setattr(B, "RUN_ROWS", 4)
+    texts = text_rows(random.Random(2), 30, 20)
+    both = text_frame(spark, texts).unionByName(text_frame(spark, texts[:9], None))
+    vocab = Vocabulary(build_vocab(both), head=5)
+    for batch in (3, None):
+        got = B.text_blocks(B.row_batches(both, batch), vocab, 8, batch).collect()
+        one = B.text_blocks(B.row_batches(text_frame(spark, texts), batch), vocab, 8, batch).collect()
+        two = B.text_blocks(B.row_batches(text_frame(spark, texts[:9]), batch), vocab, 8, batch).collect()
+        key = lambda rows: sorted((r.batch_id, r.block_id, r.input_ids) for r in rows)
+        assert key(r for r in got if r.split == "train") == key(one)
+        assert key(r for r in got if r.split is None) == key(two)
+    assert B.text_blocks(B.row_batches(both.limit(0), None), vocab, 8, None).count() == 0
+
+
+def test_texts_are_shuffled_once_and_ids_never(spark):
+    df = B.row_batches(text_frame(spark, text_rows(random.Random(3), 40, 10)), 10)
+    vocab = Vocabulary(build_vocab(df), head=5)
+    plan = explained(B.text_blocks(df, vocab, 8, 10))
+    # Texts to their runs, the distinct rare tokens and the tail to each other, the dictionaries to the runs.
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert not [x for x in exchanges(plan) if "input_ids" in x or "piece" in x]
+
+
+def test_first_blocks_only_touch_their_batches(spark):
+    texts = text_rows(random.Random(4), 200, 30)
+    rows = B.row_batches(text_frame(spark, texts), 10)
+    vocab = Vocabulary(build_vocab(rows))
+    whole = B.block_positions(B.text_blocks(rows, vocab, 16, 10)).collect()
+    for cap in (0, 1, 37, 10_000, None):
+        got = corpus.head_blocks(rows, vocab, 16, {"train": cap}, 10).collect()
+        expected = [(r.pos, r.batch_id, r.block_id, r.input_ids) for r in whole if cap is None or r.pos < cap]
+        assert sorted((r.pos, r.batch_id, r.block_id, r.input_ids) for r in got) == sorted(expected)
+
+
+def test_block_counts_need_no_ids(spark):
+    texts = text_rows(random.Random(6), 50, 30)
+    rows = B.row_batches(text_frame(spark, texts), 7)
+    vocab = Vocabulary(build_vocab(rows))
+    counts = B.block_counts(rows, 16, token_length(F.col("text"), vocab.specials))
+    assert "Arrow" not in explained(counts)
+    made = B.text_blocks(rows, vocab, 16, 7).groupBy("batch_id").count().collect()
+    assert {r.batch_id: r.blocks for r in counts.collect() if r.blocks} == {r.batch_id: r["count"] for r in made}
+
+
+def test_a_split_without_a_total_is_refused(spark):
+    df = text_frame(spark, ["a"] * 4)
+    with pytest.raises(Exception, match="no total for split"):
+        B.row_batches(df, 2, 2, {"validation": 3}).collect()

@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 
+from explain import exchanges, explained
 from textloom.operators import collate as L
 
 MARKER, EOS, IGNORE = [7, 8, 9], 2, -100
@@ -98,3 +100,18 @@ def test_dropping_rows_masks_only_once(spark, capsys):
     df = spark.createDataFrame([("train", 0, [1])], "split string, pos long, input_ids array<int>")
     L.response_mask(L.collate_causal(df, 1, 0), MARKER, EOS, 0, True).explain()
     assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
+def test_mismatches_are_counted_in_the_same_pass(spark):
+    rows = [("train", 0, [7, 8, 9, 5, EOS]), ("train", 1, [7, 8, 9, 5]), ("train", 2, [5, EOS]), ("train", 3, [1])]
+    df = spark.createDataFrame(rows, "split string, pos long, input_ids array<int>").repartition(2)
+    counts = Observation()
+    masked = L.response_mask(L.collate_causal(df, 2, 0), MARKER, EOS, 0, skip_mismatched=True, counts=counts)
+    assert {r.pos for r in masked.collect()} == {0, 3}
+    assert counts.get == {"rows": 4, "failed": 2}
+
+
+def test_collate_needs_no_window(spark):
+    df = spark.createDataFrame([("train", 0, [1])], "split string, pos long, input_ids array<int>")
+    plan = explained(L.collate_causal(df, 8, 0))
+    assert "Window" not in plan and len(exchanges(plan)) == 1

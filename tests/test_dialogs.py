@@ -9,6 +9,7 @@ from textloom.operators.dialogs import (
     transcript_to_dialog,
     turns_to_dialog,
 )
+from textloom.plans.merge import ChatSet, merge_chat_sets
 
 SYSTEM, USER, AI = "The talk.", "[|Human|]", "[|AI|]"
 
@@ -79,3 +80,20 @@ def test_turns_are_put_in_order(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv_id: [m.content for m in r.dialog] for r in turns_to_dialog(df.repartition(5)).collect()}
     assert got == {1: [f"t{t}" for t in range(12)], 2: ["only"]}
+
+
+def test_rejects_are_counted_while_rows_are_written(spark, tmp_path):
+    asked = [(1, "q", "a"), (2, None, "a"), (3, "q", None), (4, None, None)]
+    rows = spark.createDataFrame(asked, "k long, instruction string, response string").repartition(3)
+    talks = spark.createDataFrame([("z", f"{USER} a {AI} b {USER} c"), ("y", None), ("x", "")], "name string, input string")
+    inputs = {
+        "one": ChatSet(lambda c: instruct_to_dialog(rows, "one", keep=["k"], counts=c).withColumn("name", F.lit(None).cast("string")), "k"),
+        "two": ChatSet(lambda c: transcript_to_dialog(talks, "two", keep=["name"], counts=c).withColumn("k", F.lit(None).cast("long")), "name"),
+        "none": ChatSet(lambda c: instruct_to_dialog(rows.limit(0), "none", keep=["k"], counts=c).withColumn("name", F.lit(None).cast("string")), "k"),
+    }
+    merged, report = merge_chat_sets(spark, inputs, f"{tmp_path}/merged")
+    assert {(r.source, r["rows"], r.rejects) for r in report.collect()} == {("one", 2, 2), ("two", 3, 1), (None, 5, 3)}
+    # Keys of different types, and one place after the other.
+    assert sorted((r.pos, r.k, r.name) for r in merged.collect()) == [
+        (0, 1, None), (1, 3, None), (2, None, "x"), (3, None, "y"), (4, None, "z")
+    ]

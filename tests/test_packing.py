@@ -3,8 +3,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from explain import exchanges, explained
+from textloom.functions.text import render_prompt
 from textloom.operators import packing as C
-from textloom.operators.dialogs import DIALOG_TYPE
+from textloom.operators.dialogs import DIALOG_TYPE, turns_to_dialog
+from textloom.operators.order import global_position
+from textloom.operators.split import head_percent_split
+from textloom.operators.vocab import Vocabulary, build_vocab
+from textloom.plans import chat
 
 
 def greedy(lengths, max_length, system):
@@ -112,3 +118,35 @@ def test_streams_cannot_be_packed(spark, sf_dir):
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     with pytest.raises(ValueError):
         C.dialog_lengths(stream, 100)
+
+
+def turn_rows():
+    rows = [(1, 0, "system", "Be kind. <s>"), (1, 1, "user", "a b, c"), (1, 2, "assistant", "d")]
+    rows += [(2, 0, "assistant", "x </s> y"), (2, 1, "assistant", ""), (3, 5, "user", None), (3, 6, None, "z!")]
+    rows += [(4, 0, "user", "word " * 300), (5, 0, "user", "q"), (5, 0, "user", "q"), (None, 1, "user", "n")]
+    return rows + [(k, t, "user" if t % 2 == 0 else "assistant", f"t{k} " * (k % 7)) for k in range(6, 40) for t in range(k % 4 + 1)]
+
+
+def turn_table(spark):
+    return spark.createDataFrame(turn_rows(), "conv_id long, turn long, role string, text string")
+
+
+@pytest.mark.parametrize("max_length", [50, 10_000])
+def test_lengths_of_turns_equal_lengths_of_dialogs(spark, max_length):
+    turns = turn_table(spark)
+    dialogs = turns_to_dialog(turns).withColumns({"split": F.lit("train"), "pos": F.col("conv_id")})
+    whole = {r.pos: r.length for r in C.dialog_lengths(dialogs, max_length).collect()}
+    assert {r.conv_id: r.length for r in C.turn_lengths(turns, max_length).collect()} == whole
+    plan = explained(C.turn_lengths(turns, max_length))
+    assert not [x for x in exchanges(plan) if "text" in x]
+
+
+def test_samples_of_turns_equal_samples_of_dialogs(spark):
+    turns = turn_table(spark).where("conv_id IS NOT NULL")
+    dialogs = head_percent_split(global_position(turns_to_dialog(turns), "conv_id"), 10)
+    prompts = dialogs.select(render_prompt(F.col("dialog"), "Sys.").alias("text"))
+    vocab = Vocabulary(build_vocab(prompts))
+    key = lambda df: sorted((r.split, r.pos, r.input_ids) for r in df.collect())
+    got = chat.samples_of_turns(turns, vocab, 60, "Sys.", pct=10)
+    assert key(got) == key(chat.chat_samples(dialogs, vocab, 60, "Sys."))
+    assert len([x for x in exchanges(explained(got)) if "text" in x or "dialog" in x or "_turns" in x]) <= 2

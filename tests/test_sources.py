@@ -83,3 +83,47 @@ def test_small_tables_are_spread(spark, sf_dir):
     assert readers.spread(docs, docs, "doc_id").rdd.getNumPartitions() == 16
     many = docs.repartition(20)
     assert readers.spread(many, many) is many
+
+
+def test_configurations_of_a_corpus(spark, tmp_path):
+    folder = str(tmp_path)
+    for config, n in (("small", 2), ("big", 5)):
+        for split in ("train", "test"):
+            corpus(spark).where(F.col("k") < n).write.parquet(f"{folder}/{config}/{split}")
+        paths = {s: f"{folder}/{config}/{s}" for s in ("train", "test")}
+        readers.register_corpus(spark, folder, "org/c", paths, config)
+    got = readers.load_corpus(spark, folder, "org/c", config="big")
+    assert {(r.split, r.k) for r in got.collect()} == {(s, k) for s in ("train", "test") for k in range(5)}
+    assert readers.load_corpus(spark, folder, "org/c", "test", "small").count() == 2
+    for wrong in ({"config": "other"}, {"registered": True}, {"config": "big", "split": "dev"}):
+        with pytest.raises(ValueError):
+            readers.load_corpus(spark, folder, "org/c", **wrong)
+    # A later entry replaces an earlier one, and a single configuration need not be named.
+    readers.register_corpus(spark, folder, "one", {"train": f"{folder}/big/train"}, "x")
+    readers.register_corpus(spark, folder, "one", {"train": f"{folder}/small/train"}, "x")
+    assert readers.load_corpus(spark, folder, "one", registered=True).count() == 2
+
+
+def test_published_versions(spark, tmp_path):
+    target = f"{tmp_path}/out"
+    assert writers.publish_version(corpus(spark).limit(2), target) == 1
+    first = writers.read_published(spark, target)
+    assert writers.publish_version(corpus(spark), target) == 2
+    # A reader of the first version is not disturbed by the second.
+    assert first.count() == 2 and writers.read_published(spark, target).count() == 5
+    assert writers.read_published(spark, target, 1).count() == 2
+    assert {(r.version, r["rows"]) for r in writers.versions(spark, target).collect()} == {(1, 2), (2, 5)}
+    # A version that was written and not entered, as after a failure, is not seen and is written again.
+    corpus(spark).limit(1).write.parquet(f"{target}/data/version=3")
+    assert writers.read_published(spark, target).count() == 5
+    assert writers.publish_version(corpus(spark).limit(3), target) == 3
+    assert writers.read_published(spark, target).count() == 3
+    with pytest.raises(ValueError):
+        writers.read_published(spark, target, 9)
+
+
+def test_csv_lines_may_be_read_in_parts(spark, tmp_path):
+    path = f"{tmp_path}/train.csv"
+    spark.range(50).selectExpr("id AS k", "concat('t', id) AS text").coalesce(1).write.csv(path, header=True)
+    got = readers.load_files(spark, train=path, schema="k long, text string", ordered=True, multi_line=False)
+    assert sorted((r.pos, r.k) for r in got.collect()) == [(k, k) for k in range(50)]

@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from explain import exchanges, explained
 from textloom.operators.tokens import (
     attention_mask,
     encode_batches,
@@ -130,3 +131,17 @@ def test_tail_ids_of_null_and_repeated_keys(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = tokenize(df, Vocabulary(table, head=3), keep=["doc_id"]).collect()
     assert sorted(((r.doc_id or 0), r.input_ids) for r in got) == [(0, [3, 0]), (0, [4]), (1, [3, 4, 3]), (1, [4, 3])]
+
+
+def test_the_tail_moves_no_ids(spark):
+    """Only tokens are shuffled: ids are read again where they were written."""
+    vocab = Vocabulary(build_vocab(corpus(spark)), head=5)
+    plan = explained(tokenize(corpus(spark), vocab))
+    assert "FlatMapCoGroupsInArrow" in plan and "Bucketed: true" in plan
+    assert not [x for x in exchanges(plan) if "input_ids" in x]
+
+
+def test_all_special_tokens_are_single(spark):
+    specials = Specials(pad="<pad>")
+    vocab = Vocabulary(build_vocab(corpus(spark), specials=specials), specials)
+    assert vocab.ids_of("<pad> <unk></s>") == [specials.pad_id, specials.unk_id, specials.eos_id]

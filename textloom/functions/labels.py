@@ -23,15 +23,6 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def pad_right(ids: Column, length: Column, value: int) -> Column:
-    return F.concat(ids, F.array_repeat(F.lit(value).cast("int"), length - F.size(ids)))
-
-
-def labels_of(ids: Column, pad_id: int) -> Column:
-    """A copy of the ids in which the pad token is ignored."""
-    return F.transform(ids, lambda v: F.when(v == pad_id, IGNORE).otherwise(v))
-
-
 def last_other(ids: Column, token: int) -> Column:
     """0-based index of the last id that is not ``token``; -1 if there is none."""
     other = F.transform(ids, lambda v: v != token)

@@ -34,9 +34,9 @@ def literal_pattern(marker: str) -> str:
     return re.escape(marker).replace("\\ ", " ").replace("\\\n", "\\n")
 
 
-def lexer_pattern(bos: str = "<s>", eos: str = "</s>") -> str:
+def lexer_pattern(*specials: str) -> str:
     """Spelled-out specials first, then words, then single other characters; no white space."""
-    specials = "|".join(literal_pattern(s) for s in (bos, eos))
+    specials = "|".join(literal_pattern(s) for s in specials or ("<s>", "</s>"))
     return specials + r"|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
 
 

@@ -6,11 +6,19 @@ and no task ever holds more than one block of one group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.labels import to_lists
+from textloom.functions.text import lex_count
 from textloom.operators.order import global_position, running_total
+from textloom.operators.vocab import Vocabulary, rare_ids
+from textloom.sources.scratch import materialise
 
+# Rows of a run that one call makes blocks of.
+RUN_ROWS = 256
 # Batches of more rows than this get their offsets from range totals instead of one window.
 WINDOW_ROWS = 1 << 16
 
@@ -34,7 +42,7 @@ def row_batches(
         return df.withColumn("batch_id", number)
     if totals is None:
         totals = {r["split"]: r["count"] for r in df.groupBy("split").count().collect()}
-    batch = F.lit(None).cast("long")
+    batch = F.raise_error(F.concat(F.lit("no total for split "), F.coalesce("split", F.lit("null"))))
     for split, n in totals.items():
         shards = max(min(num_shards, n), 1)
         short, longer = divmod(n, shards)
@@ -52,7 +60,7 @@ def row_batches(
                 longer * per_long + (shard - longer) * per_short
             )
             number = base + F.call_function("div", pos - start, F.lit(size))
-        batch = F.when(F.col("split") == split, number).otherwise(batch)
+        batch = F.when(F.col("split").eqNullSafe(F.lit(split)), number).otherwise(batch)
     return df.withColumn("batch_id", batch)
 
 
@@ -72,9 +80,12 @@ def token_spans(df: DataFrame, batch_size: int | None = 1000, ids: str = "input_
             (F.sum("_length").over(upto) - F.col("_length")).alias("start"),
             F.sum("_length").over(whole).alias("total"),
         )
-    keys = ["split", "batch_id"]
-    spans = running_total(df, "pos", length, parts=keys, name="start", whole="total")
-    return df.join(spans, [*keys, "pos"])
+    spans = running_total(df, "pos", length, parts=["split", "batch_id"], name="start", whole="total")
+    spans = spans.toDF("_split", "_batch", "_pos", "start", "total")
+    same = F.col("split").eqNullSafe(F.col("_split")) & (F.col("batch_id") == F.col("_batch")) & (
+        F.col("pos") == F.col("_pos")
+    )
+    return df.join(spans, same).drop("_split", "_batch", "_pos")
 
 
 def group_texts(
@@ -101,28 +112,169 @@ def group_texts(
     begin = F.greatest(F.col("start"), F.col("block_id") * block_size)
     stop = F.least(end, (F.col("block_id") + 1) * block_size)
     piece = F.slice(ids, (begin - F.col("start") + 1).cast("int"), (stop - begin).cast("int"))
-    blocks = (
-        cut.select("split", "batch_id", "block_id", begin.alias("begin"), piece.alias("piece"))
-        .groupBy("split", "batch_id", "block_id")
-        .agg(F.array_sort(F.collect_list(F.struct("begin", "piece"))).alias("pieces"))
+    pieces = cut.select("split", "batch_id", "block_id", begin.alias("begin"), piece.alias("piece"))
+    return _joined_pieces(pieces).withColumn("labels", F.col("input_ids"))
+
+
+def _lookup(vocab: Vocabulary, add_bos: bool):
+    """A function for tasks: offsets and ids of joined tokens, rare ones by a dictionary."""
+    head, unk, bos = vocab.head_lookup(), vocab.specials.unk_id, vocab.specials.bos_id
+
+    def ids_of(joined: pa.Array, known: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        offsets, flat, tokens = head(joined)
+        missing = np.flatnonzero(flat == -1)
+        if len(missing):
+            rest = tokens.take(pa.array(missing))
+            flat[missing] = rare_ids(rest, pa.chunked_array([known]), pa.chunked_array([ids]), unk)
+        if add_bos:
+            given = joined.is_valid().to_numpy(zero_copy_only=False)
+            flat = np.insert(flat, offsets[:-1][given], bos)
+            offsets = offsets + np.concatenate(([0], np.cumsum(given)))
+        return offsets, flat
+
+    return ids_of
+
+
+def _cut(ids: np.ndarray, base: int, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the block pieces in a stretch of a batch's tokens that begins at ``base``, and their blocks."""
+    stop = min(base + len(ids), total - total % size)
+    if stop <= base:
+        return np.zeros(1, np.int64), np.zeros(0, np.int64)
+    blocks = np.arange(base // size, (stop - 1) // size + 1)
+    bounds = np.clip(np.append(blocks, blocks[-1] + 1) * size, base, stop) - base
+    return bounds, blocks
+
+
+PIECES = "split string, batch_id long, block_id long, begin long, whole boolean, piece array<int>"
+
+
+def text_blocks(
+    df: DataFrame,
+    vocab: Vocabulary,
+    block_size: int,
+    batch_size: int | None = 1000,
+    text: str = "text",
+    add_bos: bool = False,
+) -> DataFrame:
+    """``group_texts`` of texts: ``split, batch_id, block_id, input_ids, labels``.
+
+    ``df`` has ``split, pos, batch_id`` and texts.  Only the texts are shuffled, once, to runs of
+    consecutive rows: whole batches if these are small, else ``RUN_ROWS`` rows of a batch.  A run's ids
+    are made and cut where they are.  Larger batches get the runs' offsets from token counts, which
+    need no ids, and only the pieces at the borders of runs, two at most each, are moved to be joined.
+    Of a vocabulary with a tail, each run gets a dictionary of the rare tokens in it.  A null text has
+    no tokens, not even a first one.
+    """
+    if not block_size or block_size < 1:
+        raise ValueError("block_size must be given")
+    small = bool(batch_size and 0 < batch_size <= RUN_ROWS)
+    if small:
+        per_run = max(1, RUN_ROWS // batch_size)
+        lead, run = F.call_function("div", "batch_id", F.lit(per_run)), F.lit(0).cast("long")
+    else:
+        lead, run = F.col("batch_id"), F.call_function("div", "pos", F.lit(RUN_ROWS))
+    key = ["split", "lead", "run"]
+    texts = df.select(
+        "split", lead.alias("lead"), run.alias("run"), F.col("batch_id").cast("long"), F.col("pos").cast("long"), F.col(text).alias("text")
     )
-    joined = F.flatten(F.transform("pieces", lambda p: p["piece"]))
-    return blocks.select("split", "batch_id", "block_id", joined.alias("input_ids")).withColumn(
-        "labels", F.col("input_ids")
+    # Texts are lexed behind the shuffle, so a table of one input split keeps all cores busy.
+    lexed = texts.repartition(*key).select(*key, "batch_id", "pos", vocab.joined(F.col("text")).alias("joined"))
+    about = _about_runs(texts, vocab, key, small, add_bos)
+    ids_of = _lookup(vocab, add_bos)
+
+    def cut(rows: pa.Table, known: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("batch_id", "ascending"), ("pos", "ascending")])
+        tokens, ids = pa.array([], pa.string()), pa.array([], pa.int32())
+        base, whole = 0, None
+        if len(known):
+            base, whole = known["base"][0].as_py(), known["total"][0].as_py()
+            entries = known["entries"].combine_chunks().flatten()
+            tokens, ids = entries.field("token"), entries.field("id")
+        offsets, flat = ids_of(rows["joined"].combine_chunks(), tokens, ids)
+        batch = rows["batch_id"].to_numpy()
+        first = np.flatnonzero(np.append(True, batch[1:] != batch[:-1]))
+        pieces, bounds = [], [np.zeros(1, np.int64)]
+        kept, at = [], 0
+        for row, stop in zip(first, np.append(first[1:], len(batch)), strict=True):
+            own = flat[offsets[row] : offsets[stop]]
+            total = len(own) if small else whole
+            edges, blocks = _cut(own, base, total, block_size)
+            pieces.append((np.full(len(blocks), batch[row]), blocks, base + edges[:-1], np.diff(edges) == block_size))
+            bounds.append(at + edges[1:])
+            kept.append(own[: edges[-1]])
+            at += edges[-1]
+        columns = [pa.array(np.concatenate(c)) for c in zip(*pieces, strict=True)]
+        lists = to_lists(np.concatenate(bounds), np.concatenate(kept))
+        split = pa.array([rows["split"][0].as_py()] * len(lists), pa.string())
+        return pa.table([split, *columns, lists], names=["split", "batch_id", "block_id", "begin", "whole", "piece"])
+
+    left = lexed.groupBy(*key)
+    if about is None:
+        nothing = pa.table({"base": pa.array([], pa.int64())})
+        cuts = left.applyInArrow(lambda rows: cut(rows, nothing), PIECES)
+    else:
+        cuts = left.cogroup(about.groupBy("_split", "_lead", "_run")).applyInArrow(cut, PIECES)
+    if small:
+        blocks = cuts.select("split", "batch_id", "block_id", F.col("piece").alias("input_ids"))
+        return blocks.withColumn("labels", F.col("input_ids"))
+    cuts = materialise(cuts, "blocks")
+    whole = cuts.where("whole").select("split", "batch_id", "block_id", F.col("piece").alias("input_ids"))
+    joined = _joined_pieces(cuts.where("NOT whole"))
+    return whole.unionByName(joined).withColumn("labels", F.col("input_ids"))
+
+
+def _about_runs(texts: DataFrame, vocab: Vocabulary, key: list[str], small: bool, add_bos: bool) -> DataFrame | None:
+    """``_split, _lead, _run, base, total, entries``: offsets and dictionaries of the runs that need any."""
+    bases = tails = None
+    if not small:
+        count = F.coalesce(lex_count(F.col("text"), vocab.specials.pattern) + int(add_bos), F.lit(0))
+        counts = materialise(texts.groupBy(*key).agg(F.sum(count.cast("long")).alias("n")), "runs")
+        bases = running_total(counts, "run", F.col("n"), parts=["split", "lead"], name="base", whole="total")
+        bases = bases.toDF("_split", "_lead", "_run", "base", "total")
+    if vocab.tail is not None:
+        rest = vocab.head_ids_and_rest(vocab.lex(F.col("text")))["rest"]
+        rare = texts.repartition(*key).select(*key, F.explode(rest).alias("token")).distinct()
+        tails = rare.join(vocab.tail, "token").groupBy(*key).agg(F.collect_list(F.struct("token", "id")).alias("entries"))
+    if bases is None and tails is None:
+        return None
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<struct<token:string,id:int>>")
+    if tails is None:
+        return bases.withColumn("entries", none)
+    if bases is None:
+        return tails.select(
+            *[F.col(c).alias(f"_{c}") for c in key], zero.alias("base"), zero.alias("total"), "entries"
+        )
+    same = F.col("split").eqNullSafe(F.col("_split")) & (F.col("lead") == F.col("_lead")) & (F.col("run") == F.col("_run"))
+    return bases.join(tails, same, "left").select(
+        "_split", "_lead", "_run", "base", "total", F.coalesce("entries", none).alias("entries")
     )
 
 
+def _joined_pieces(pieces: DataFrame) -> DataFrame:
+    """Blocks from their pieces ``split, batch_id, block_id, begin, piece``."""
+    blocks = pieces.groupBy("split", "batch_id", "block_id").agg(
+        F.array_sort(F.collect_list(F.struct("begin", "piece"))).alias("pieces")
+    )
+    joined = F.flatten(F.transform("pieces", lambda p: p["piece"]))
+    return blocks.select("split", "batch_id", "block_id", joined.alias("input_ids"))
+
+
 def block_positions(blocks: DataFrame) -> DataFrame:
     """Add the 0-based position of each block in its split; reads the blocks twice."""
     return global_position(blocks, ["batch_id", "block_id"], parts=["split"])
 
 
-def block_remainder(df: DataFrame, block_size: int, ids: str = "input_ids") -> DataFrame:
-    """Tokens kept and dropped per batch."""
-    total = F.sum(F.size(ids).cast("long"))
+def block_counts(df: DataFrame, block_size: int, length: Column) -> DataFrame:
+    """``split, batch_id, tokens, dropped, kept, blocks`` from the rows' lengths alone: no ids are made."""
     return (
         df.groupBy("split", "batch_id")
-        .agg(total.alias("tokens"))
+        .agg(F.coalesce(F.sum(length.cast("long")), F.lit(0)).alias("tokens"))
         .withColumn("dropped", F.col("tokens") % block_size)
         .withColumn("kept", F.col("tokens") - F.col("dropped"))
+        .withColumn("blocks", F.call_function("div", "kept", F.lit(block_size)))
     )
+
+
+def block_remainder(df: DataFrame, block_size: int, ids: str = "input_ids") -> DataFrame:
+    """Tokens kept and dropped per batch of token rows."""
+    return block_counts(df, block_size, F.size(ids)).drop("blocks")

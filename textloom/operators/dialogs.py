@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textloom.functions.text import literal_pattern, strip
+from textloom.operators.order import global_position
+from textloom.sources.scratch import materialise
 
 DIALOG_TYPE = "array<struct<role:string,content:string>>"
 
@@ -17,6 +19,13 @@ def message(role: Column | str, content: Column) -> Column:
     return F.struct(role.alias("role"), content.alias("content"))
 
 
+def counted(df: DataFrame, counts: Observation | None, rejected: Column) -> DataFrame:
+    """Count rows, and what ``rejected`` gives per row, while ``df`` is read for something else."""
+    if counts is None:
+        return df
+    return df.observe(counts, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(rejected), F.lit(0)).alias("rejects"))
+
+
 def instruct_to_dialog(
     df: DataFrame,
     source: str,
@@ -24,18 +33,20 @@ def instruct_to_dialog(
     context: str = "context",
     response: str = "response",
     keep: Sequence[str] = (),
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Question and answer rows; a context that is present and not empty follows the question.
 
-    A missing context column means no context.  Rows without an instruction are rejected, see
-    ``instruct_rejects``.
+    A missing context column means no context.  Rows without an instruction are rejected:
+    ``instruct_rejects`` lists them, and ``counts`` has their number after the first run of the result.
     """
     question = F.col(instruction)
     if context in df.columns:
         extra = F.when(F.col(context) != "", F.concat(F.lit(" "), F.col(context))).otherwise("")
         question = F.concat(question, extra)
     dialog = F.array(message("user", question), message("assistant", F.col(response)))
-    return df.where(F.col(instruction).isNotNull()).select(
+    lacking = F.col(instruction).isNull()
+    return counted(df, counts, lacking.cast("long")).where(~lacking).select(
         *keep, dialog.cast(DIALOG_TYPE).alias("dialog"), F.lit(source).alias("source")
     )
 
@@ -52,8 +63,12 @@ def transcript_to_dialog(
     user_prefix: str = "[|Human|]",
     assistant_prefix: str = "[|AI|]",
     keep: Sequence[str] = (),
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """Transcripts with speaker markers; pieces without an answer are skipped."""
+    """Transcripts with speaker markers; pieces without an answer are skipped.
+
+    ``counts`` has the number of skipped pieces as its rejects after the first run of the result.
+    """
     body = F.replace(F.col(text), F.lit(system_prefix), F.lit("")) if system_prefix else F.col(text)
     pieces = F.filter(
         F.transform(F.split(body, literal_pattern(user_prefix)), strip), lambda p: p != ""
@@ -70,7 +85,9 @@ def transcript_to_dialog(
             ),
         )
     )
-    return df.select(*keep, dialog.cast(DIALOG_TYPE).alias("dialog"), F.lit(source).alias("source"))
+    skipped = F.coalesce(F.size(pieces) - F.size(halves), F.lit(0)).cast("long")
+    rows = counted(df, counts, skipped)
+    return rows.select(*keep, dialog.cast(DIALOG_TYPE).alias("dialog"), F.lit(source).alias("source"))
 
 
 def concat_dialogs(inputs: Sequence[DataFrame]) -> DataFrame:
@@ -82,9 +99,33 @@ def concat_dialogs(inputs: Sequence[DataFrame]) -> DataFrame:
     return merged
 
 
-def size_report(df: DataFrame) -> DataFrame:
-    """Rows per source and, with a null source, in total."""
-    return df.rollup("source").agg(F.count(F.lit(1)).alias("rows"))
+def concat_positions(inputs: Sequence[tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
+    """``concat_dialogs`` of inputs with their own order: ``pos`` is a row's place in the whole.
+
+    Each input is placed by its own key, whatever its columns; a source begins where the ones before
+    it end.  Every input is run once and written; positions and sizes are read from that.
+    """
+    written = [materialise(df, "input") for df, _ in inputs]
+    base, placed = 0, []
+    for df, (_, order) in zip(written, inputs, strict=True):
+        placed.append(global_position(df, order).withColumn("pos", F.col("pos") + base))
+        base += df.count()
+    return concat_dialogs(placed)
+
+
+def size_report(df: DataFrame, counts: Mapping[str, Observation] | None = None) -> DataFrame:
+    """Rows per source and, with a null source, in total.
+
+    With the ``counts`` of each source, taken while ``df`` was written, also ``rejects``.
+    """
+    report = df.rollup("source").agg(F.count(F.lit(1)).alias("rows"))
+    if counts is None:
+        return report
+    rejects = {source: seen.get["rejects"] for source, seen in counts.items()}
+    number = F.lit(sum(rejects.values())).cast("long")
+    for source, n in rejects.items():
+        number = F.when(F.col("source") == source, F.lit(n).cast("long")).otherwise(number)
+    return report.withColumn("rejects", number)
 
 
 def turns_to_dialog(

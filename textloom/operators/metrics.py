@@ -52,14 +52,21 @@ def unigram_losses(
     return counted.select(group, "token", "n", (-F.log(share)).alias("nll"))
 
 
-def sample_counts(df: DataFrame, caps: dict[str, int | None]) -> DataFrame:
-    """``split, rows, samples``: rows per split and how many of them a cap leaves."""
+def sample_counts(
+    df: DataFrame, caps: dict[str, int | None], number: str | None = None
+) -> DataFrame:
+    """``split, rows, samples``: rows per split and how many of them a cap leaves.
+
+    With a column ``number``, each row of ``df`` stands for so many rows, such as the blocks that a batch will give, see
+    ``block_counts``: none of them need be made.
+    """
     cap = F.lit(None).cast("long")
     for split, n in caps.items():
         cap = F.when(F.col("split") == split, F.lit(n).cast("long")).otherwise(cap)
     return (
         df.groupBy("split")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum(F.lit(1) if number is None else number).cast("long").alias("rows"))
+        .where(F.col("rows") > 0)
         .withColumn("samples", F.least("rows", F.coalesce(cap, F.col("rows"))))
     )
 
@@ -73,8 +80,9 @@ def corpus_size(df: DataFrame, group: str = "source", text: str = "text") -> Dat
     )
 
 
-def split_summary(df: DataFrame, ids: str = "input_ids") -> DataFrame:
-    """Rows and tokens per split."""
+def split_summary(df: DataFrame, ids: str = "input_ids", length: Column | None = None) -> DataFrame:
+    """Rows and tokens per split; a ``length`` stands in for ids that are not made yet."""
+    length = F.size(ids) if length is None else length
     return df.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.size(ids).cast("long")).alias("tokens")
+        F.count(F.lit(1)).alias("rows"), F.sum(length.cast("long")).alias("tokens")
     )

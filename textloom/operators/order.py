@@ -159,14 +159,16 @@ def file_position(df: DataFrame, name: str = "pos") -> DataFrame:
     placed = df.withColumns(
         {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
     )
-    counts = placed.groupBy("_file").agg((F.max("_row") + 1).alias("_rows")).collect()
-    base, rows = 0, []
-    for file, n in sorted((r["_file"], r["_rows"]) for r in counts):
-        rows.append((file, base))
-        base += n
-    bases = df.sparkSession.createDataFrame(rows, "_file string, _base long")
-    if len(rows) <= MAX_DRIVER_ROWS:
-        bases = F.broadcast(bases)
-    return placed.join(bases, "_file").withColumn(name, F.col("_base") + F.col("_row")).drop(
-        "_file", "_row", "_base"
-    )
+    return row_position(placed, name)
+
+
+def row_position(df: DataFrame, name: str = "pos") -> DataFrame:
+    """Position by ``_file``, then ``_row``, the row's number within its file; both are dropped.
+
+    Every file has all its rows here.  The sums run in two levels, over the files of a range and
+    over ranges, so there may be any number of files: none of their names reaches the driver.
+    """
+    sizes = df.groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
+    bases = running_total(sizes, "_file", F.col("_rows"), name="_base").withColumnRenamed("_file", "_of")
+    placed = df.join(bases, F.col("_file") == F.col("_of"))
+    return placed.withColumn(name, F.col("_base") + F.col("_row")).drop("_file", "_row", "_base", "_of")

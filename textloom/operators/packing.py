@@ -13,7 +13,8 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import render_prompt
+from textloom.functions.text import TURN_CLOSE, TURN_OPEN, lex_count, render_prompt
+from textloom.operators.dialogs import DIALOG_TYPE, message
 from textloom.operators.order import MAX_DRIVER_ROWS, global_position
 from textloom.operators.tokens import token_length
 from textloom.operators.vocab import Specials
@@ -35,6 +36,33 @@ def dialog_lengths(
     return df.select("split", "pos", token_length(prompt, specials, max_length).alias("length"))
 
 
+def turn_lengths(
+    turns: DataFrame,
+    max_length: int,
+    specials: Specials = Specials(),
+    key: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+) -> DataFrame:
+    """``key, length`` of every conversation of a table with one row per turn, as ``dialog_lengths`` gives it.
+
+    A prompt's parts are set apart by white space or by special tokens, so its tokens are the sum of
+    theirs: turns are counted where they are, and only numbers are shuffled.
+    """
+    if turns.isStreaming:
+        raise ValueError("packing needs all lengths: read the conversations in batch")
+    count = lambda column: lex_count(column, specials.pattern).cast("long")
+    asked = F.coalesce(F.col(role) == "user", F.lit(False))
+    opening = count(F.lit(specials.bos + TURN_OPEN))
+    around = F.when(asked, opening + count(F.lit(TURN_CLOSE))).otherwise(count(F.lit(specials.eos)))
+    own = count(F.coalesce(text, F.lit("None"))) + around
+    # The first turn opens the prompt whoever speaks, and a user does not open it again.
+    first = F.when(F.min(F.struct(turn, role))[role] == "user", 0).otherwise(opening)
+    length = F.least(F.sum(own) + first, F.lit(max_length)).cast("int")
+    return turns.groupBy(key).agg(length.alias("length"))
+
+
 def length_rank(lengths: DataFrame) -> DataFrame:
     """Add ``rank``: 0-based, longest first, ties by position."""
     return global_position(
@@ -156,6 +184,30 @@ def merge_packs(df: DataFrame, packs: DataFrame, dialog: str = "dialog") -> Data
     )
 
 
+def merge_turns(
+    turns: DataFrame,
+    packs: DataFrame,
+    key: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+) -> DataFrame:
+    """``split, pack_id, dialog`` from a table with one row per turn; ``packs`` also has its ``key``.
+
+    Turns go to their pack at once, in the order of slots and turns, so their texts are shuffled at
+    most twice: to meet their pack's number, and to the pack.
+    """
+    numbers = packs.select(F.col(key).alias("_key"), "split", "pack_id", "slot")
+    placed = turns.select(key, turn, role, text).join(numbers, F.col(key).eqNullSafe(F.col("_key")))
+    members = F.array_sort(F.collect_list(F.struct("slot", turn, role, text)))
+    messages = F.transform("_turns", lambda t: message(t[role], t[text])).cast(DIALOG_TYPE)
+    return (
+        placed.groupBy("split", "pack_id")
+        .agg(members.alias("_turns"))
+        .select("split", "pack_id", messages.alias("dialog"))
+    )
+
+
 def pack_violations(packs: DataFrame, max_length: int) -> DataFrame:
     """Per split: packs, the fullest one, and those whose members alone exceed ``max_length``."""
     return (

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from textloom.functions.text import lex_count, system_block
 from textloom.operators.vocab import Specials, Vocabulary, resolve_tail
-from textloom.sources.scratch import materialise
+from textloom.sources.scratch import materialise_bucketed
 
 
 def tokenize(
@@ -26,8 +26,8 @@ def tokenize(
     """``keep`` columns and the token ids; all other columns are dropped.
 
     Truncation counts the beginning-of-sequence token and comes before the lookup.  A vocabulary
-    with a tail has the ids of its head written once, so that the texts are lexed once; its rows
-    are told apart by their place in the written files, so ``keep`` may be null or repeat.
+    with a tail has the ids of its head written once, so that the texts are lexed once; the rare tokens
+    of each written part are then looked up by themselves.  ``keep`` may be null or repeat.
     """
     tokens = vocab.lex(F.col(text))
     if max_length is not None:
@@ -35,11 +35,8 @@ def tokenize(
     if vocab.tail is None:
         out = df.select(*keep, vocab.head_ids(tokens).alias(name))
     else:
-        found = df.select(*keep, vocab.head_ids_and_rest(tokens).alias(name))
-        found = materialise(found, "ids").withColumns(
-            {"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
-        )
-        out = resolve_tail(found, vocab, ["_file", "_row"], name).select(*keep, name)
+        found = df.select(F.spark_partition_id().alias("_part"), *keep, vocab.head_ids_and_rest(tokens).alias(name))
+        out = resolve_tail(materialise_bucketed(found, "ids", "_part"), vocab, "_part", name)
     if add_bos:
         bos = F.array(F.lit(vocab.specials.bos_id))
         out = out.withColumn(name, F.concat(bos, F.col(name)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,7 +62,7 @@ class Specials:
 
     @property
     def pattern(self) -> str:
-        return lexer_pattern(self.bos, self.eos)
+        return lexer_pattern(*sorted(self.tokens, key=len, reverse=True))
 
 
 def count_tokens(df: DataFrame, text: str = "text", specials: Specials = Specials()) -> DataFrame:
@@ -116,6 +115,20 @@ class Vocabulary:
     def lex(self, text: Column) -> Column:
         return lex(text, self.specials.pattern)
 
+    def joined(self, text: Column) -> Column:
+        """The tokens of a text as one string, as ``looked_up`` takes them."""
+        return _joined(self.lex(text))
+
+    def head_lookup(self):
+        """A function for tasks: offsets and ids of a column of joined tokens, -1 for what the head lacks."""
+        shared = self._head
+
+        def looked_up(joined: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+            offsets, flat = _split(joined)
+            return offsets, _find(flat, shared.value, -1), flat
+
+        return looked_up
+
     def head_ids(self, tokens: Column) -> Column:
         """Ids of an array of tokens; what the head does not know is the unknown id."""
         return _ids(self._head, self.specials.unk_id)(_joined(tokens))
@@ -182,32 +195,37 @@ def _ids_and_rest(shared):
     return ids_and_rest
 
 
-def resolve_tail(df: DataFrame, vocab: Vocabulary, keys: Sequence[str], found: str) -> DataFrame:
-    """Ids from a column of ``head_ids_and_rest``, by joining only the rest with the tail.
+def resolve_tail(df: DataFrame, vocab: Vocabulary, part: str, found: str) -> DataFrame:
+    """Ids from a column of ``head_ids_and_rest``; ids never move, only distinct rare tokens do.
 
-    ``keys`` identify a row and are not null.  What the tail does not hold either becomes the
-    unknown id.  ``df`` is read twice: hand over a written table.  A token that is frequent here
-    but rare in the vocabulary makes a large partition, which adaptive execution splits.
+    ``df`` is a table bucketed by ``part``, which names bounded sets of rows such as written files.  The
+    tokens that the head does not know are counted once per part and joined with the tail: that gives
+    every part a dictionary of its own, next to which its rows are read again.  A token is at most one
+    row per part in that join, however frequent it is.  What the tail does not hold either becomes the
+    unknown id.
     """
-    places = F.arrays_zip(F.col(f"{found}.at").alias("at"), F.col(f"{found}.rest").alias("token"))
-    resolved = (
-        df.select(*keys, F.inline(places))
-        .join(vocab.tail, "token")
-        .groupBy(*keys)
-        .agg(F.collect_list("at").alias("_at"), F.collect_list("id").alias("_id"))
-    )
-    ids = _scatter(vocab.specials.unk_id)(F.col(f"{found}.ids"), F.col("_at"), F.col("_id"))
-    return df.join(resolved, list(keys), "left").withColumn(found, ids).drop("_at", "_id")
-
-
-def _scatter(unk: int):
-    @F.arrow_udf(IDS)
-    def scatter(ids: pa.Array, at: pa.Array, found: pa.Array) -> pa.Array:
+    columns = [c for c in df.columns if c != part]
+    rare = df.select(part, F.explode(f"{found}.rest").alias("token")).distinct()
+    dictionary = rare.join(vocab.tail, "token").select(F.col(part).alias("_of"), "token", "id")
+    schema = T.StructType([T.StructField(c, IDS if c == found else df.schema[c].dataType) for c in columns])
+    unk = vocab.specials.unk_id
+
+    def resolve(rows: pa.Table, known: pa.Table) -> pa.Table:
+        looked_up = rows[found].combine_chunks()
+        ids, at, rest = (looked_up.field(c) for c in IDS_AND_REST.names)
         offsets, _ = list_offsets(ids)
         flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
         _, counts = list_offsets(at)
         places = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
-        flat[places] = found.flatten().to_numpy(zero_copy_only=False)
-        return to_lists(offsets, np.where(flat == -1, unk, flat), nulls_of(ids))
+        flat[places] = rare_ids(rest.flatten(), known["token"], known["id"], unk)
+        resolved = to_lists(offsets, flat, nulls_of(looked_up.field("ids")))
+        return pa.table({c: resolved if c == found else rows[c] for c in columns})
+
+    return df.groupBy(part).cogroup(dictionary.groupBy("_of")).applyInArrow(resolve, schema)
+
 
-    return scatter
+def rare_ids(tokens: pa.Array, known: pa.ChunkedArray, ids: pa.ChunkedArray, unk: int) -> np.ndarray:
+    """Ids of tokens by a dictionary of a few; the unknown id for others."""
+    if not len(known):
+        return np.full(len(tokens), unk, dtype=np.int32)
+    return _find(tokens, (known.combine_chunks(), ids.combine_chunks().to_numpy()), unk)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from textloom.operators.blocks import WINDOW_ROWS, group_texts, row_batches
-from textloom.operators.order import global_position
-from textloom.operators.split import head_percent_split, with_validation
-from textloom.operators.tokens import tokenize
+from textloom.operators.blocks import WINDOW_ROWS, block_counts, row_batches, text_blocks
+from textloom.operators.order import global_position, running_total
+from textloom.operators.split import head_percent_split, head_samples, with_validation
+from textloom.operators.tokens import token_length, tokenize
 from textloom.operators.vocab import Vocabulary
-from textloom.sources.readers import spread
 from textloom.sources.scratch import materialise
 
 
@@ -55,6 +55,32 @@ def prepare_corpus(
     add_bos: bool = False,
 ) -> DataFrame:
     """Blocks of a corpus as it was read: ``split, batch_id, block_id, input_ids, labels``."""
-    rows = spread(split_corpus(df, key, pct, use_presplit), df, key)
-    tokens = token_batches(rows, vocab, text, batch_size, num_shards, add_bos)
-    return group_texts(tokens, block_size, batch_size)
+    batched = row_batches(split_corpus(df, key, pct, use_presplit), batch_size, num_shards)
+    return text_blocks(batched, vocab, block_size, batch_size, text, add_bos)
+
+
+def head_blocks(
+    df: DataFrame,
+    vocab: Vocabulary,
+    block_size: int,
+    caps: dict[str, int | None],
+    batch_size: int | None = 1000,
+    text: str = "text",
+    add_bos: bool = False,
+) -> DataFrame:
+    """The first ``caps[split]`` blocks of each named split, with their position ``pos`` in it.
+
+    ``df`` has ``split, pos, batch_id`` and texts.  Token counts tell how many blocks each batch gives,
+    and their running total where its first one stands, so only the texts of batches that are wanted
+    are looked up and cut: the work follows the caps.
+    """
+    length = token_length(F.col(text), vocab.specials) + int(add_bos)
+    counts = block_counts(df, block_size, length).select("split", "batch_id", "blocks")
+    placed = running_total(materialise(counts, "counts"), "batch_id", F.col("blocks"), ["split"], name="first")
+    placed = placed.withColumnRenamed("first", "pos")
+    wanted = materialise(head_samples(placed, caps), "wanted").toDF("_split", "_batch", "first")
+    same = F.col("split").eqNullSafe(F.col("_split")) & (F.col("batch_id") == F.col("_batch"))
+    rows = df.join(wanted, same, "left_semi")
+    blocks = text_blocks(rows, vocab, block_size, batch_size, text, add_bos)
+    blocks = blocks.join(wanted, same).withColumn("pos", F.col("first") + F.col("block_id"))
+    return head_samples(blocks.drop("_split", "_batch", "first"), caps)

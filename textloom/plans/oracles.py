@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from textloom.functions.text import SYSTEM_CLOSE, SYSTEM_OPEN, WHITESPACE, lexer_pattern
+from textloom.functions.text import SYSTEM_CLOSE, SYSTEM_OPEN, WHITESPACE
 from textloom.plans import registry as R
 
-PATTERN = lexer_pattern()
+PATTERN = R.SPECIALS.pattern
 SYSTEM_BLOCK = SYSTEM_OPEN + R.SYSTEM_PROMPT + SYSTEM_CLOSE
 
 
@@ -72,7 +72,7 @@ BLOCK_ROWS = f"""SELECT split, batch_id, block_id, {_digest_ids('ids')} AS ids_m
 ALL_AS_TRAIN = CORPUS.replace("CASE WHEN p < border THEN 'validation' ELSE 'train' END", "'train'").replace(
     "CASE WHEN p < border THEN p ELSE p - border END", "p"
 )
-STREAM = (ALL_AS_TRAIN, *DOCS[1:], ENCODED, _blocks("0"))
+STREAM = (ALL_AS_TRAIN, *DOCS[1:], ENCODED, _blocks(f"pos // {R.BATCH_SIZE}"))
 BATCHES = f"""batch_totals AS (
   SELECT split, pos // {R.BATCH_SIZE} AS batch_id, sum(len(ids))::BIGINT AS tokens
   FROM ids GROUP BY split, pos // {R.BATCH_SIZE})"""
@@ -221,20 +221,20 @@ def _batch_rows(table: str, label: str, more: str = "", where: str = "") -> str:
 CHAT = (*PACKED, SAMPLES)
 CHAT_BATCHES = (*CHAT, _collated("samples"), RESTORED)
 
-INSTRUCT = """instruct AS (
-  SELECT u.conv_id, u.turn, u.text AS instruction, a.text AS response,
+INSTRUCT = """turns_asked AS (
+  SELECT u.conv_id, u.turn, u.role, u.text AS instruction, a.text AS response,
          CASE WHEN u.conv_id % 5 = 0 THEN '' ELSE n.text END AS context
   FROM conversations u
-  JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-  LEFT JOIN conversations n ON n.conv_id = u.conv_id AND n.turn = u.turn + 2
-  WHERE u.role = 'user')"""
+  LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  LEFT JOIN conversations n ON n.conv_id = u.conv_id AND n.turn = u.turn + 2),
+instruct AS (SELECT * FROM turns_asked WHERE role = 'user')"""
 
 FROM_INSTRUCT = """SELECT conv_id, turn, 'instruct' AS source,
   md5('user:' || instruction || CASE WHEN context <> '' THEN ' ' || context ELSE '' END
-      || '|assistant:' || response) AS dialog_md5, 2::BIGINT AS turns FROM instruct"""
+      || coalesce('|assistant:' || response, '')) AS dialog_md5, 2::BIGINT AS turns FROM instruct"""
 
 FROM_ALPACA = """SELECT conv_id, turn, 'alpaca' AS source,
-  md5('user:' || instruction || '|assistant:' || response) AS dialog_md5, 2::BIGINT AS turns
+  md5('user:' || instruction || coalesce('|assistant:' || response, '')) AS dialog_md5, 2::BIGINT AS turns
   FROM instruct"""
 
 TRANSCRIPTS = f"""transcripts AS (
@@ -263,14 +263,26 @@ FROM_TURNS = """SELECT conv_id, 'conversations' AS source,
   FROM conversations GROUP BY conv_id"""
 
 MERGED = f"""merged AS (
-  SELECT conv_id, 0 AS source_ord, source, dialog_md5, turns FROM ({FROM_INSTRUCT})
+  SELECT conv_id, source_ord, source, dialog_md5, turns,
+         row_number() OVER (ORDER BY source_ord, conv_id, turn) - 1 AS pos
+  FROM (
+    SELECT conv_id, turn, 0 AS source_ord, source, dialog_md5, turns FROM ({FROM_INSTRUCT})
+    UNION ALL
+    SELECT conv_id, NULL, 1, source, dialog_md5, turns FROM ({FROM_TRANSCRIPT})
+    UNION ALL
+    SELECT conv_id, turn, 2, source, dialog_md5, turns FROM ({FROM_ALPACA})))"""
+
+# Turns that are no instruction, for two of the sets, and pieces of transcripts without an answer.
+REJECTS = """rejects AS (
+  SELECT 'instruct' AS source, count(*) AS rejects FROM turns_asked WHERE role <> 'user'
   UNION ALL
-  SELECT conv_id, 1, source, dialog_md5, turns FROM ({FROM_TRANSCRIPT})
+  SELECT 'alpaca', count(*) FROM turns_asked WHERE role <> 'user'
   UNION ALL
-  SELECT conv_id, 2, source, dialog_md5, turns FROM ({FROM_ALPACA}))"""
+  SELECT 'transcript', count(*) FROM pieces WHERE NOT contains(piece, '[|AI|]'))"""
 
-FILE_ROWS = """SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split,
-  md5(text) AS text_md5, length(text)::BIGINT AS n FROM documents"""
+FILE_ROWS = """SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS pos,
+  md5(text) AS text_md5, length(text)::BIGINT AS n
+FROM (SELECT *, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split FROM documents)"""
 
 HEAD = f"""numbered AS (
   SELECT *, row_number() OVER (PARTITION BY split ORDER BY batch_id, block_id) - 1 AS pos FROM blocks)"""
@@ -280,13 +292,16 @@ CAPS = f"CASE split WHEN 'train' THEN {R.HEAD_TRAIN} ELSE {R.HEAD_VALIDATION} EN
 ORACLES: dict[str, str] = {
     "load_corpus": """SELECT doc_id, 'train' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS pos,
       md5(text) AS text_md5 FROM documents""",
+    "load_corpus_config": """SELECT doc_id, CASE WHEN n_chars >= 1000 THEN 'long' ELSE 'short' END AS config,
+      CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split, md5(text) AS text_md5
+      FROM documents""",
     "load_files_csv": FILE_ROWS,
     "load_files_json": FILE_ROWS,
-    "load_files_text": """SELECT split, md5(line || chr(10)) AS line_md5, count(*) AS lines,
-      max(length(line) + 1)::BIGINT AS n
-      FROM (SELECT CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split,
-                   unnest(string_split(text, chr(10))) AS line FROM documents)
-      GROUP BY split, md5(line || chr(10))""",
+    "load_files_text": """SELECT split, row_number() OVER (PARTITION BY split ORDER BY doc_id, i) - 1 AS pos,
+        md5(line || chr(10)) AS line_md5, (length(line) + 1)::BIGINT AS n
+      FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split,
+                   unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
     "prepared_roundtrip": _with(*BLOCKS) + BLOCK_ROWS,
     "text_column_pick": """SELECT item_id, md5(text) AS named_md5, md5(text) AS first_md5
       FROM benchmark""",
@@ -316,9 +331,10 @@ ORACLES: dict[str, str] = {
     "dialog_from_transcript": _with(TRANSCRIPTS) + FROM_TRANSCRIPT,
     "dialog_from_turns": FROM_TURNS,
     "dialog_concat": _with(INSTRUCT, TRANSCRIPTS, MERGED) + "SELECT * FROM merged",
-    "dialog_sizes": _with(INSTRUCT, TRANSCRIPTS, MERGED)
-    + """SELECT coalesce(source, 'total') AS source, count(*) AS rows FROM merged
-      GROUP BY ROLLUP (source)""",
+    "dialog_sizes": _with(INSTRUCT, TRANSCRIPTS, MERGED, REJECTS)
+    + """SELECT coalesce(m.source, 'total') AS source, count(*) AS rows,
+        (SELECT sum(rejects)::BIGINT FROM rejects r WHERE m.source IS NULL OR r.source = m.source) AS rejects
+      FROM merged m GROUP BY ROLLUP (m.source)""",
     "build_vocab": _with(*DOCS) + "SELECT token, n, id FROM vocab",
     "tokenize_docs": _with(*DOC_IDS) + DOC_TOKENS,
     "tokenize_small_head": _with(*DOC_IDS) + DOC_TOKENS,

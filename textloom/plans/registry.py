@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import render_prompt
@@ -33,6 +33,7 @@ TRUNCATE_AT = 64
 SMALL_HEAD = 1_000
 MAX_LENGTH = 1024
 TRAIN_BATCH = 8
+LOTS, LOT_FILES = 3, 4
 HEAD_TRAIN, HEAD_VALIDATION = 50, 10
 SYSTEM_PROMPT = "Answer briefly, in the language of the question."
 TRANSCRIPT_SYSTEM = "A talk between a person and a machine."
@@ -129,19 +130,20 @@ def chat_vocab(spark: SparkSession, sf: str) -> V.Vocabulary:
 
 
 def packed(spark: SparkSession, sf: str) -> chat.Packed:
-    return chat.pack_conversations(
-        split_dialogs(spark, sf), MAX_LENGTH, SYSTEM_PROMPT, SPECIALS
-    )
+    found = chat.pack_turns(conversations(spark, sf), MAX_LENGTH, SYSTEM_PROMPT, SPECIALS)
+    return chat.Packed(found.lengths, found.packs.drop("conv_id"))
 
 
-def doc_tokens(spark: SparkSession, sf: str, batch_size: int | None = BATCH_SIZE) -> DataFrame:
-    return corpus.token_batches(
-        split_texts(spark, sf), full_vocab(spark, sf), batch_size=batch_size
-    )
+def doc_batches(spark: SparkSession, sf: str, batch_size: int | None = BATCH_SIZE) -> DataFrame:
+    return B.row_batches(split_documents(spark, sf), batch_size)
 
 
 def doc_blocks(spark: SparkSession, sf: str, batch_size: int | None = BATCH_SIZE) -> DataFrame:
-    return B.group_texts(doc_tokens(spark, sf, batch_size), BLOCK_SIZE, batch_size)
+    return B.text_blocks(doc_batches(spark, sf, batch_size), full_vocab(spark, sf), BLOCK_SIZE, batch_size)
+
+
+def text_length() -> Column:
+    return K.token_length(F.col("text"), SPECIALS)
 
 
 def block_digest(blocks: DataFrame) -> DataFrame:
@@ -155,8 +157,8 @@ def block_digest(blocks: DataFrame) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.chat_samples(
-        split_dialogs(spark, sf), chat_vocab(spark, sf), MAX_LENGTH, SYSTEM_PROMPT
+    return chat.samples_of_turns(
+        conversations(spark, sf), chat_vocab(spark, sf), MAX_LENGTH, SYSTEM_PROMPT
     )
 
 
@@ -174,10 +176,10 @@ def batch_digest(batches: DataFrame, *more: str) -> DataFrame:
 
 
 def instruct_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """User turns with the answer after them; the turn after that serves as context."""
+    """All turns: a user's is an instruction, with the answer after it and the turn after that as context."""
     turns = conversations(spark, sf)
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("instruction")
+    asked = turns.select(
+        "conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("instruction")
     )
     answers = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
@@ -185,7 +187,7 @@ def instruct_rows(spark: SparkSession, sf: str) -> DataFrame:
     after = turns.select("conv_id", (F.col("turn") - 2).alias("turn"), F.col("text").alias("after"))
     context = F.when(F.col("conv_id") % 5 == 0, F.lit("")).otherwise(F.col("after"))
     return (
-        asked.join(answers, ["conv_id", "turn"])
+        asked.join(answers, ["conv_id", "turn"], "left")
         .join(after, ["conv_id", "turn"], "left")
         .select("conv_id", "turn", "instruction", context.alias("context"), "response")
     )
@@ -210,33 +212,37 @@ def transcript_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def from_instruct(spark: SparkSession, sf: str) -> DataFrame:
-    return D.instruct_to_dialog(instruct_rows(spark, sf), "instruct", keep=["conv_id", "turn"])
+def from_instruct(spark: SparkSession, sf: str, counts: Observation | None = None) -> DataFrame:
+    return D.instruct_to_dialog(
+        instruct_rows(spark, sf), "instruct", keep=["conv_id", "turn"], counts=counts
+    )
 
 
-def from_alpaca(spark: SparkSession, sf: str) -> DataFrame:
+def from_alpaca(spark: SparkSession, sf: str, counts: Observation | None = None) -> DataFrame:
     rows = instruct_rows(spark, sf).select(
         "conv_id", "turn", "instruction", F.col("response").alias("output")
     )
     return D.instruct_to_dialog(
-        rows, "alpaca", context="input", response="output", keep=["conv_id", "turn"]
+        rows, "alpaca", context="input", response="output", keep=["conv_id", "turn"], counts=counts
     )
 
 
-def from_transcript(spark: SparkSession, sf: str) -> DataFrame:
+def from_transcript(spark: SparkSession, sf: str, counts: Observation | None = None) -> DataFrame:
     return D.transcript_to_dialog(
-        transcript_rows(spark, sf), "transcript", system_prefix=TRANSCRIPT_SYSTEM, keep=["conv_id"]
+        transcript_rows(spark, sf), "transcript", system_prefix=TRANSCRIPT_SYSTEM, keep=["conv_id"],
+        counts=counts,
     )
 
 
 def merged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return merge.merge_chat_sets(
-        {
-            "instruct": lambda: from_instruct(spark, sf).drop("turn"),
-            "transcript": lambda: from_transcript(spark, sf),
-            "alpaca": lambda: from_alpaca(spark, sf).drop("turn"),
-        }
-    )
+    """The three sets, published, and their report."""
+    first = F.lit(None).cast("long").alias("turn")
+    inputs = {
+        "instruct": merge.ChatSet(lambda c: from_instruct(spark, sf, c), ["conv_id", "turn"]),
+        "transcript": merge.ChatSet(lambda c: from_transcript(spark, sf, c).select("*", first), "conv_id"),
+        "alpaca": merge.ChatSet(lambda c: from_alpaca(spark, sf, c), ["conv_id", "turn"]),
+    }
+    return merge.merge_chat_sets(spark, inputs, scratch_path(spark, "merged"))
 
 
 def dialog_digest(df: DataFrame, *keys: str) -> DataFrame:
@@ -256,14 +262,34 @@ def load_corpus(spark, sf):
     )
 
 
+@query
+def load_corpus_config(spark, sf):
+    """Documents as a corpus of two configurations, each with two splits, by way of its catalogue."""
+    folder = scratch_path(spark, "corpora")
+    long, held_out = F.col("n_chars") >= 1000, F.coalesce(F.col("doc_id") % 10 == 0, F.lit(False))
+    configs = {"long": F.coalesce(long, F.lit(False)), "short": ~F.coalesce(long, F.lit(False))}
+    loaded = None
+    for config, rows in configs.items():
+        paths = {}
+        for split, those in (("train", ~held_out), ("validation", held_out)):
+            paths[split] = f"{folder}/documents/{config}/{split}"
+            documents(spark, sf).where(rows & those).write.parquet(paths[split])
+        readers.register_corpus(spark, folder, "documents", paths, config)
+    for config in configs:
+        df = readers.load_corpus(spark, folder, "documents", config=config).withColumn("config", F.lit(config))
+        loaded = df if loaded is None else loaded.unionByName(df)
+    return loaded.select("doc_id", "config", "split", digest(F.col("text")).alias("text_md5"))
+
+
 def _written_files(spark, sf, extension: str, columns: list[str]) -> dict[str, str]:
     """Documents as files: every tenth one in the validation file, the others in training."""
-    held_out = F.col("doc_id") % 10 == 0
+    held_out = F.coalesce(F.col("doc_id") % 10 == 0, F.lit(False))
     base = scratch_path(spark, "files")
     paths = {}
     for split, rows in (("train", ~held_out), ("validation", held_out)):
         paths[split] = f"{base}/{split}.{extension}"
-        writer = documents(spark, sf).where(rows).select(*columns).write
+        ranged = documents(spark, sf).where(rows).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        writer = ranged.select(*columns).write
         if extension == "csv":
             writer.csv(paths[split], header=True, escape='"', quoteAll=True)
         elif extension == "json":
@@ -277,6 +303,7 @@ def _document_digest(df: DataFrame) -> DataFrame:
     return df.select(
         "doc_id",
         "split",
+        "pos",
         digest(F.col("text")).alias("text_md5"),
         F.length("text").cast("long").alias("n"),
     )
@@ -286,7 +313,7 @@ def _document_digest(df: DataFrame) -> DataFrame:
 def load_files_csv(spark, sf):
     paths = _written_files(spark, sf, "csv", ["doc_id", "text"])
     return _document_digest(
-        readers.load_files(spark, **paths, schema="doc_id bigint, text string")
+        readers.load_files(spark, **paths, schema="doc_id bigint, text string", ordered=True)
     )
 
 
@@ -294,17 +321,16 @@ def load_files_csv(spark, sf):
 def load_files_json(spark, sf):
     paths = _written_files(spark, sf, "json", ["doc_id", "text"])
     return _document_digest(
-        readers.load_files(spark, **paths, schema="doc_id bigint, text string")
+        readers.load_files(spark, **paths, schema="doc_id bigint, text string", ordered=True)
     )
 
 
 @query
 def load_files_text(spark, sf):
     paths = _written_files(spark, sf, "txt", ["text"])
-    lines = readers.load_files(spark, **paths, keep_linebreaks=True)
-    return (
-        lines.groupBy("split", digest(F.col("text")).alias("line_md5"))
-        .agg(F.count(F.lit(1)).alias("lines"), F.max(F.length("text").cast("long")).alias("n"))
+    lines = readers.load_files(spark, **paths, keep_linebreaks=True, ordered=True)
+    return lines.select(
+        "split", "pos", digest(F.col("text")).alias("line_md5"), F.length("text").cast("long").alias("n")
     )
 
 
@@ -330,9 +356,12 @@ def text_column_pick(spark, sf):
 
 @query
 def publish_roundtrip(spark, sf):
+    """The second of two versions; the first one is of fewer conversations."""
     target = scratch_path(spark, "published")
-    writers.publish(dialogs(spark, sf).withColumn("source", F.lit("conversations")), target)
-    return dialog_digest(spark.read.parquet(target), "conv_id")
+    rows = dialogs(spark, sf).withColumn("source", F.lit("conversations"))
+    writers.publish_version(rows.where(F.size("dialog") > 2), target)
+    writers.publish_version(rows, target)
+    return dialog_digest(writers.read_published(spark, target), "conv_id")
 
 
 # ---- order and splits ----------------------------------------------------------------------
@@ -378,9 +407,11 @@ def presplit_override(spark, sf):
 
 @query
 def head_samples(spark, sf):
-    blocks = materialise(doc_blocks(spark, sf), "blocks")
     caps = {"train": HEAD_TRAIN, "validation": HEAD_VALIDATION}
-    return block_digest(P.head_samples(B.block_positions(blocks), caps))
+    rows = readers.spread(doc_batches(spark, sf), documents(spark, sf), "doc_id")
+    return block_digest(
+        corpus.head_blocks(rows, full_vocab(spark, sf), BLOCK_SIZE, caps, BATCH_SIZE)
+    )
 
 
 # ---- dialogs -------------------------------------------------------------------------------
@@ -409,13 +440,13 @@ def dialog_from_turns(spark, sf):
 
 @query
 def dialog_concat(spark, sf):
-    return dialog_digest(merged(spark, sf)[0], "conv_id", "source_ord")
+    return dialog_digest(merged(spark, sf)[0], "conv_id", "source_ord", "pos")
 
 
 @query
 def dialog_sizes(spark, sf):
     report = merged(spark, sf)[1]
-    return report.select(F.coalesce("source", F.lit("total")).alias("source"), "rows")
+    return report.select(F.coalesce("source", F.lit("total")).alias("source"), "rows", "rejects")
 
 
 # ---- tokens --------------------------------------------------------------------------------
@@ -507,7 +538,8 @@ def group_texts_whole(spark, sf):
 
 @query
 def block_remainder(spark, sf):
-    return B.block_remainder(doc_tokens(spark, sf), BLOCK_SIZE)
+    rows = readers.spread(doc_batches(spark, sf), documents(spark, sf), "doc_id")
+    return B.block_counts(rows, BLOCK_SIZE, text_length()).drop("blocks")
 
 
 # ---- prompts and packing -------------------------------------------------------------------
@@ -545,8 +577,9 @@ def pack_dialogs(spark, sf):
 
 @query
 def merge_packs(spark, sf):
-    rows = split_dialogs(spark, sf)
-    return C.merge_packs(rows, packed(spark, sf).packs).select(
+    turns = conversations(spark, sf)
+    packs = chat.pack_turns(turns, MAX_LENGTH, SYSTEM_PROMPT, SPECIALS).packs
+    return C.merge_turns(turns, packs).select(
         "split", "pack_id", digest_dialog(F.col("dialog")).alias("dialog_md5"), size_of("dialog").alias("turns")
     )
 
@@ -623,7 +656,9 @@ def perplexity_by_lang(spark, sf):
 
 @query
 def sample_counts(spark, sf):
-    counts = M.sample_counts(doc_blocks(spark, sf), {"train": HEAD_TRAIN, "validation": HEAD_VALIDATION})
+    rows = readers.spread(doc_batches(spark, sf), documents(spark, sf), "doc_id")
+    blocks = B.block_counts(rows, BLOCK_SIZE, text_length())
+    counts = M.sample_counts(blocks, {"train": HEAD_TRAIN, "validation": HEAD_VALIDATION}, "blocks")
     path = scratch_path(spark, "metrics")
     writers.save_metrics(counts, path)
     return spark.read.schema("split string, rows bigint, samples bigint").json(path)
@@ -636,7 +671,7 @@ def corpus_size(spark, sf):
 
 @query
 def split_summary(spark, sf):
-    return M.split_summary(doc_tokens(spark, sf))
+    return M.split_summary(split_texts(spark, sf), length=text_length())
 
 
 # ---- streaming -----------------------------------------------------------------------------
@@ -671,10 +706,15 @@ def stream_render(spark, sf):
 
 @query
 def stream_group_texts(spark, sf):
-    path = f"{sf}/documents.parquet"
-    rows = jobs.stream_corpus(spark, path, spark.read.parquet(path).schema)
-    out = scratch_path(spark, "stream-blocks")
-    jobs.stream_group_texts(
-        rows, full_vocab(spark, sf), BLOCK_SIZE, out, scratch_path(spark, "stream-state")
-    )
+    """Documents that arrive in three lots of many files each, with a restart of the stream after each."""
+    docs = G.global_position(documents(spark, sf), "doc_id")
+    rows = docs.count()
+    arrived, out, state = (scratch_path(spark, f"stream-{x}") for x in ("documents", "blocks", "state"))
+    vocab = full_vocab(spark, sf)
+    for lot in range(LOTS):
+        here = F.call_function("div", F.col("pos") * LOTS, F.lit(max(rows, 1))) == lot
+        ranged = docs.where(here).repartitionByRange(LOT_FILES, "pos").sortWithinPartitions("pos")
+        ranged.drop("pos").write.mode("append").parquet(arrived)
+        stream = jobs.stream_corpus(spark, arrived, documents(spark, sf).schema)
+        jobs.stream_group_texts(stream, vocab, BLOCK_SIZE, out, state, batch_size=BATCH_SIZE)
     return block_digest(spark.read.parquet(out))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,60 @@ READ_ORDER = ["_file", "_block", "_line"]
 EXTENSIONS = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text", "parquet": "parquet"}
 
 
+CATALOGUE = "name string, config string, split string, path string"
+
+
+def register_corpus(
+    spark: SparkSession, folder: str, name: str, splits: Mapping[str, str], config: str = "default"
+) -> None:
+    """Enter the folders of a corpus' splits under one of its configurations; later entries replace earlier ones."""
+    rows = [(name, config, split, path) for split, path in splits.items()]
+    added = F.current_timestamp().alias("added")
+    entry = spark.createDataFrame(rows, CATALOGUE).select("*", added)
+    entry.coalesce(1).write.mode("append").parquet(f"{folder}/catalogue")
+
+
+def resolve_corpus(
+    spark: SparkSession, folder: str, name: str, config: str | None = None
+) -> dict[str, str]:
+    """The folder of each split of a registered corpus.
+
+    Without a ``config`` there must be a single one, or one called ``default``.
+    """
+    entries = spark.read.parquet(f"{folder}/catalogue").where(F.col("name") == name)
+    # A corpus has a handful of configurations and splits.
+    newest = entries.groupBy("config", "split").agg(F.max_by("path", "added").alias("path")).collect()
+    configs = sorted({r["config"] for r in newest})
+    if config is None:
+        config = configs[0] if len(configs) == 1 else "default"
+    if config not in configs:
+        raise ValueError(f"corpus {name!r} has the configurations {configs}, not {config!r}")
+    return {r["split"]: r["path"] for r in sorted(newest) if r["config"] == config}
+
+
 def load_corpus(
-    spark: SparkSession, folder: str, name: str, split: str | None = None
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    split: str | None = None,
+    config: str | None = None,
+    registered: bool = False,
 ) -> DataFrame:
-    """A named Parquet corpus; ``split`` labels one that has no split column of its own."""
+    """A named Parquet corpus with all its splits, or one of them.
+
+    A ``registered`` corpus, or one with a ``config``, is looked up in the folder's catalogue.  Else the
+    name is a folder, and ``split`` labels one that has no split column of its own.
+    """
+    if registered or config is not None:
+        paths = resolve_corpus(spark, folder, name, config)
+        if split is not None and split not in paths:
+            raise ValueError(f"corpus {name!r} has the splits {sorted(paths)}, not {split!r}")
+        merged = None
+        for label, path in paths.items():
+            if split in (None, label):
+                df = spark.read.parquet(path).withColumn("split", F.lit(label))
+                merged = df if merged is None else merged.unionByName(df)
+        return merged
     df = spark.read.parquet(f"{folder}/{name}" if folder else name)
     if "split" in df.columns:
         return df if split is None else df.where(F.col("split") == split)
@@ -40,11 +90,13 @@ def load_files(
     schema: str | None = None,
     keep_linebreaks: bool = False,
     ordered: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Training and validation files as one table with a ``split`` column.
 
     The format follows the extension of the training file, else of the validation file.  A
-    CSV cell may span lines; a text file gives one row per line.  ``ordered`` adds ``pos``, the
+    CSV cell may span lines, unless ``multi_line`` is off, which lets large files be read in parts; a
+    text file gives one row per line.  ``ordered`` adds ``pos``, the
     position in the order of the files and of the rows within them.
     """
     files = {"train": train, "validation": validation}
@@ -54,14 +106,15 @@ def load_files(
     kind = file_format(next(iter(given.values())))
     merged = None
     for split, path in given.items():
-        df = _read(spark, kind, path, schema, keep_linebreaks, ordered)
+        df = _read(spark, kind, path, schema, keep_linebreaks, ordered, multi_line)
         df = df.withColumn("split", F.lit(split))
         merged = df if merged is None else merged.unionByName(df)
     if not ordered:
         return merged
     # The order columns hold for one scan only, so the rows are written before they are ranked.
+    # No two rows of a scan have the same id.
     return global_position(
-        materialise(merged, "files"), READ_ORDER, parts=["split"]
+        materialise(merged, "files"), READ_ORDER, parts=["split"], unique=True
     ).drop(*READ_ORDER)
 
 
@@ -72,10 +125,11 @@ def _read(
     schema: str | None,
     keep_linebreaks: bool,
     ordered: bool,
+    multi_line: bool,
 ) -> DataFrame:
     reader = spark.read if schema is None or kind == "text" else spark.read.schema(schema)
     if kind == "csv":
-        df = reader.csv(path, header=True, multiLine=True, escape='"', quote='"')
+        df = reader.csv(path, header=True, multiLine=multi_line, escape='"', quote='"')
     elif kind == "json":
         df = reader.json(path)
     elif kind == "text":
@@ -99,8 +153,7 @@ def spread(df: DataFrame, scan: DataFrame, *keys: str) -> DataFrame:
     moved; a table of few splits would leave most cores idle.
     """
     wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
-    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if splits >= wanted else df.repartition(wanted, *keys)
+    return df if scan.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)
 
 
 def load_prepared(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:

@@ -36,3 +36,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Write ``df`` bucketed by ``key``: grouping by it later moves no row.
+
+    Rows stay in the task that writes them, so ``key`` should have few values per task.
+    """
+    spark = df.sparkSession
+    # More buckets than shuffle partitions, so that few of them hold rows of several tasks.
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"textloom_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", scratch_path(spark, label))
+    writer.bucketBy(min(buckets, 100_000), key).saveAsTable(name)
+    return spark.table(name)
