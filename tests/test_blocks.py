@@ -122,6 +122,7 @@ def text_frame(spark, texts, split="train"):
 def test_blocks_of_texts_equal_blocks_of_ids(spark, monkeypatch, batch, head):
     """Runs shorter than a batch, of whole batches, and with rare tokens only."""
     monkeypatch.setattr(B, "RUN_ROWS", 20)
+    monkeypatch.setattr(B, "BATCH_ROWS", 30)
     rng = random.Random(f"{head}/{batch}")
     texts = text_rows(rng, 150, 30)
     texts[3], texts[4], texts[5] = " ".join(f"w{i}" for i in range(400)), "", None
@@ -137,6 +138,7 @@ def test_blocks_of_texts_equal_blocks_of_ids(spark, monkeypatch, batch, head):
 
 def test_blocks_of_texts_keep_splits_apart(spark, monkeypatch):
     monkeypatch.setattr(B, "RUN_ROWS", 4)
+    monkeypatch.setattr(B, "BATCH_ROWS", 4)
     texts = text_rows(random.Random(2), 30, 20)
     both = text_frame(spark, texts).unionByName(text_frame(spark, texts[:9], None))
     vocab = Vocabulary(build_vocab(both), head=5)

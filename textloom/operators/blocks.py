@@ -8,17 +8,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.labels import to_lists
-from textloom.functions.text import lex_count
 from textloom.operators.order import global_position, running_total
-from textloom.operators.vocab import Vocabulary, rare_ids
-from textloom.sources.scratch import materialise
+from textloom.operators.vocab import Vocabulary, patched, rare_tokens
+from textloom.sources.scratch import bucket_count, materialise, materialise_bucketed
 
-# Rows of a run that one call makes blocks of.
-RUN_ROWS = 256
+# Rows of a run that one call makes blocks of, and of a batch that is one run whole.
+RUN_ROWS, BATCH_ROWS = 256, 4096
 # Batches of more rows than this get their offsets from range totals instead of one window.
 WINDOW_ROWS = 1 << 16
 
@@ -116,25 +116,6 @@ def group_texts(
     return _joined_pieces(pieces).withColumn("labels", F.col("input_ids"))
 
 
-def _lookup(vocab: Vocabulary, add_bos: bool):
-    """A function for tasks: offsets and ids of joined tokens, rare ones by a dictionary."""
-    head, unk, bos = vocab.head_lookup(), vocab.specials.unk_id, vocab.specials.bos_id
-
-    def ids_of(joined: pa.Array, known: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        offsets, flat, tokens = head(joined)
-        missing = np.flatnonzero(flat == -1)
-        if len(missing):
-            rest = tokens.take(pa.array(missing))
-            flat[missing] = rare_ids(rest, pa.chunked_array([known]), pa.chunked_array([ids]), unk)
-        if add_bos:
-            given = joined.is_valid().to_numpy(zero_copy_only=False)
-            flat = np.insert(flat, offsets[:-1][given], bos)
-            offsets = offsets + np.concatenate(([0], np.cumsum(given)))
-        return offsets, flat
-
-    return ids_of
-
-
 def _cut(ids: np.ndarray, base: int, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the block pieces in a stretch of a batch's tokens that begins at ``base``, and their blocks."""
     stop = min(base + len(ids), total - total % size)
@@ -145,6 +126,7 @@ def _cut(ids: np.ndarray, base: int, total: int, size: int) -> tuple[np.ndarray,
     return bounds, blocks
 
 
+RUN = ["split", "lead", "run"]
 PIECES = "split string, batch_id long, block_id long, begin long, whole boolean, piece array<int>"
 
 
@@ -159,46 +141,53 @@ def text_blocks(
     """``group_texts`` of texts: ``split, batch_id, block_id, input_ids, labels``.
 
     ``df`` has ``split, pos, batch_id`` and texts.  Only the texts are shuffled, once, to runs of
-    consecutive rows: whole batches if these are small, else ``RUN_ROWS`` rows of a batch.  A run's ids
-    are made and cut where they are.  Larger batches get the runs' offsets from token counts, which
-    need no ids, and only the pieces at the borders of runs, two at most each, are moved to be joined.
-    Of a vocabulary with a tail, each run gets a dictionary of the rare tokens in it.  A null text has
+    consecutive rows: whole batches if these are small, else ``RUN_ROWS`` rows of a batch.  There they are
+    lexed and looked up, once, and a run's ids are cut where they are.  Runs of larger batches need their
+    offsets, and those of a vocabulary with a tail the ids of the rare tokens in them: then the ids are
+    written, bucketed by run, and read again next to what the run's sizes and rare tokens gave.  Of such
+    batches the pieces at the borders of runs, two at most each, are moved to be joined.  A null text has
     no tokens, not even a first one.
     """
     if not block_size or block_size < 1:
         raise ValueError("block_size must be given")
-    small = bool(batch_size and 0 < batch_size <= RUN_ROWS)
+    small = bool(batch_size and 0 < batch_size <= BATCH_ROWS)
     if small:
         per_run = max(1, RUN_ROWS // batch_size)
         lead, run = F.call_function("div", "batch_id", F.lit(per_run)), F.lit(0).cast("long")
     else:
         lead, run = F.col("batch_id"), F.call_function("div", "pos", F.lit(RUN_ROWS))
-    key = ["split", "lead", "run"]
     texts = df.select(
-        "split", lead.alias("lead"), run.alias("run"), F.col("batch_id").cast("long"), F.col("pos").cast("long"), F.col(text).alias("text")
+        "split",
+        lead.alias("lead"),
+        run.alias("run"),
+        F.col("batch_id").cast("long").alias("batch_id"),
+        F.col("pos").cast("long").alias("pos"),
+        F.col(text).alias("text"),
+    )
+    # Lexed behind the shuffle, so a table of one input split keeps all cores busy.
+    looked_up = texts.repartition(bucket_count(df.sparkSession), *RUN).select(
+        *RUN, "batch_id", "pos", vocab.head_ids_and_rest(vocab.lex(F.col("text"))).alias("found")
     )
-    # Texts are lexed behind the shuffle, so a table of one input split keeps all cores busy.
-    lexed = texts.repartition(*key).select(*key, "batch_id", "pos", vocab.joined(F.col("text")).alias("joined"))
-    about = _about_runs(texts, vocab, key, small, add_bos)
-    ids_of = _lookup(vocab, add_bos)
+    unk, bos = vocab.specials.unk_id, vocab.specials.bos_id
 
-    def cut(rows: pa.Table, known: pa.Table) -> pa.Table:
+    def cut(rows: pa.Table, known: pa.Table | None = None) -> pa.Table:
         rows = rows.sort_by([("batch_id", "ascending"), ("pos", "ascending")])
-        tokens, ids = pa.array([], pa.string()), pa.array([], pa.int32())
+        found = rows["found"].combine_chunks()
+        offsets, flat = patched(found, known, unk)
+        if add_bos:
+            given = found.field("ids").is_valid().to_numpy(zero_copy_only=False)
+            flat = np.insert(flat, offsets[:-1][given], bos)
+            offsets = offsets + np.concatenate(([0], np.cumsum(given)))
         base, whole = 0, None
-        if len(known):
-            base, whole = known["base"][0].as_py(), known["total"][0].as_py()
-            entries = known["entries"].combine_chunks().flatten()
-            tokens, ids = entries.field("token"), entries.field("id")
-        offsets, flat = ids_of(rows["joined"].combine_chunks(), tokens, ids)
+        if not small:
+            # One row has the offsets, the others a token.
+            base, whole = pc.max(known["base"]).as_py(), pc.max(known["total"]).as_py()
         batch = rows["batch_id"].to_numpy()
         first = np.flatnonzero(np.append(True, batch[1:] != batch[:-1]))
-        pieces, bounds = [], [np.zeros(1, np.int64)]
-        kept, at = [], 0
+        pieces, bounds, kept, at = [], [np.zeros(1, np.int64)], [], 0
         for row, stop in zip(first, np.append(first[1:], len(batch)), strict=True):
             own = flat[offsets[row] : offsets[stop]]
-            total = len(own) if small else whole
-            edges, blocks = _cut(own, base, total, block_size)
+            edges, blocks = _cut(own, base, len(own) if small else whole, block_size)
             pieces.append((np.full(len(blocks), batch[row]), blocks, base + edges[:-1], np.diff(edges) == block_size))
             bounds.append(at + edges[1:])
             kept.append(own[: edges[-1]])
@@ -208,12 +197,14 @@ def text_blocks(
         split = pa.array([rows["split"][0].as_py()] * len(lists), pa.string())
         return pa.table([split, *columns, lists], names=["split", "batch_id", "block_id", "begin", "whole", "piece"])
 
-    left = lexed.groupBy(*key)
-    if about is None:
-        nothing = pa.table({"base": pa.array([], pa.int64())})
-        cuts = left.applyInArrow(lambda rows: cut(rows, nothing), PIECES)
+    if small and vocab.tail is None:
+        cuts = looked_up.groupBy(*RUN).applyInArrow(lambda rows: cut(rows), PIECES)
     else:
-        cuts = left.cogroup(about.groupBy("_split", "_lead", "_run")).applyInArrow(cut, PIECES)
+        length = F.coalesce(F.size("found.ids") + int(add_bos), F.lit(0)).cast("long")
+        length = F.when(F.col("found.ids").isNull(), 0).otherwise(length).alias("n")
+        written = materialise_bucketed(looked_up.select("*", length), "ids", RUN)
+        about = _about_runs(written, vocab, small).groupBy("_split", "_lead", "_run")
+        cuts = written.groupBy(*RUN).cogroup(about).applyInArrow(cut, PIECES)
     if small:
         blocks = cuts.select("split", "batch_id", "block_id", F.col("piece").alias("input_ids"))
         return blocks.withColumn("labels", F.col("input_ids"))
@@ -223,31 +214,21 @@ def text_blocks(
     return whole.unionByName(joined).withColumn("labels", F.col("input_ids"))
 
 
-def _about_runs(texts: DataFrame, vocab: Vocabulary, key: list[str], small: bool, add_bos: bool) -> DataFrame | None:
-    """``_split, _lead, _run, base, total, entries``: offsets and dictionaries of the runs that need any."""
-    bases = tails = None
-    if not small:
-        count = F.coalesce(lex_count(F.col("text"), vocab.specials.pattern) + int(add_bos), F.lit(0))
-        counts = materialise(texts.groupBy(*key).agg(F.sum(count.cast("long")).alias("n")), "runs")
-        bases = running_total(counts, "run", F.col("n"), parts=["split", "lead"], name="base", whole="total")
-        bases = bases.toDF("_split", "_lead", "_run", "base", "total")
+def _about_runs(written: DataFrame, vocab: Vocabulary, small: bool) -> DataFrame:
+    """``_split, _lead, _run, base, total, token, id``: offsets of runs of large batches, a row per rare token in a run."""
+    zero = [F.lit(None).cast("long").alias(c) for c in ("base", "total")]
     if vocab.tail is not None:
-        rest = vocab.head_ids_and_rest(vocab.lex(F.col("text")))["rest"]
-        rare = texts.repartition(*key).select(*key, F.explode(rest).alias("token")).distinct()
-        tails = rare.join(vocab.tail, "token").groupBy(*key).agg(F.collect_list(F.struct("token", "id")).alias("entries"))
-    if bases is None and tails is None:
-        return None
-    zero, none = F.lit(0).cast("long"), F.array().cast("array<struct<token:string,id:int>>")
-    if tails is None:
-        return bases.withColumn("entries", none)
-    if bases is None:
-        return tails.select(
-            *[F.col(c).alias(f"_{c}") for c in key], zero.alias("base"), zero.alias("total"), "entries"
-        )
-    same = F.col("split").eqNullSafe(F.col("_split")) & (F.col("lead") == F.col("_lead")) & (F.col("run") == F.col("_run"))
-    return bases.join(tails, same, "left").select(
-        "_split", "_lead", "_run", "base", "total", F.coalesce("entries", none).alias("entries")
-    )
+        rare = rare_tokens(written, RUN, "found").join(vocab.tail, "token")
+        rare = rare.select(*[F.col(c).alias(f"_{c}") for c in RUN], *zero, "token", "id")
+        if small:
+            return rare
+    sizes = written.groupBy(*RUN).agg(F.sum("n").alias("n"))
+    bases = running_total(sizes, "run", F.col("n"), parts=["split", "lead"], name="base", whole="total")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("token", "string"), ("id", "int"))]
+    rows = bases.toDF("_split", "_lead", "_run", "base", "total").select("*", *none)
+    if vocab.tail is None:
+        return rows
+    return rows.unionByName(rare)
 
 
 def _joined_pieces(pieces: DataFrame) -> DataFrame:

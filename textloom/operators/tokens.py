@@ -36,7 +36,7 @@ def tokenize(
         out = df.select(*keep, vocab.head_ids(tokens).alias(name))
     else:
         found = df.select(F.spark_partition_id().alias("_part"), *keep, vocab.head_ids_and_rest(tokens).alias(name))
-        out = resolve_tail(materialise_bucketed(found, "ids", "_part"), vocab, "_part", name)
+        out = resolve_tail(materialise_bucketed(found, "ids", ["_part"]), vocab, "_part", name)
     if add_bos:
         bos = F.array(F.lit(vocab.specials.bos_id))
         out = out.withColumn(name, F.concat(bos, F.col(name)))

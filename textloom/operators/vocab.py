@@ -15,8 +15,8 @@ from textloom.functions.labels import list_offsets, nulls_of, to_lists
 from textloom.functions.text import lex, lexer_pattern
 from textloom.operators.order import global_position
 
-# The most frequent ids are broadcast; at some 30 bytes each this stays below 10 MB.
-HEAD_TOKENS = 1 << 18
+# The most frequent ids are broadcast; at some 30 bytes each this stays below 16 MB.
+HEAD_TOKENS = 1 << 19
 
 IDS = T.ArrayType(T.IntegerType())
 IDS_AND_REST = T.StructType(
@@ -115,20 +115,6 @@ class Vocabulary:
     def lex(self, text: Column) -> Column:
         return lex(text, self.specials.pattern)
 
-    def joined(self, text: Column) -> Column:
-        """The tokens of a text as one string, as ``looked_up`` takes them."""
-        return _joined(self.lex(text))
-
-    def head_lookup(self):
-        """A function for tasks: offsets and ids of a column of joined tokens, -1 for what the head lacks."""
-        shared = self._head
-
-        def looked_up(joined: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-            offsets, flat = _split(joined)
-            return offsets, _find(flat, shared.value, -1), flat
-
-        return looked_up
-
     def head_ids(self, tokens: Column) -> Column:
         """Ids of an array of tokens; what the head does not know is the unknown id."""
         return _ids(self._head, self.specials.unk_id)(_joined(tokens))
@@ -205,27 +191,35 @@ def resolve_tail(df: DataFrame, vocab: Vocabulary, part: str, found: str) -> Dat
     unknown id.
     """
     columns = [c for c in df.columns if c != part]
-    rare = df.select(part, F.explode(f"{found}.rest").alias("token")).distinct()
-    dictionary = rare.join(vocab.tail, "token").select(F.col(part).alias("_of"), "token", "id")
+    dictionary = rare_tokens(df, [part], found).join(vocab.tail, "token")
+    dictionary = dictionary.select(F.col(part).alias("_of"), "token", "id").groupBy("_of")
     schema = T.StructType([T.StructField(c, IDS if c == found else df.schema[c].dataType) for c in columns])
     unk = vocab.specials.unk_id
 
     def resolve(rows: pa.Table, known: pa.Table) -> pa.Table:
         looked_up = rows[found].combine_chunks()
-        ids, at, rest = (looked_up.field(c) for c in IDS_AND_REST.names)
-        offsets, _ = list_offsets(ids)
-        flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
-        _, counts = list_offsets(at)
-        places = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
-        flat[places] = rare_ids(rest.flatten(), known["token"], known["id"], unk)
-        resolved = to_lists(offsets, flat, nulls_of(looked_up.field("ids")))
-        return pa.table({c: resolved if c == found else rows[c] for c in columns})
-
-    return df.groupBy(part).cogroup(dictionary.groupBy("_of")).applyInArrow(resolve, schema)
-
-
-def rare_ids(tokens: pa.Array, known: pa.ChunkedArray, ids: pa.ChunkedArray, unk: int) -> np.ndarray:
-    """Ids of tokens by a dictionary of a few; the unknown id for others."""
-    if not len(known):
-        return np.full(len(tokens), unk, dtype=np.int32)
-    return _find(tokens, (known.combine_chunks(), ids.combine_chunks().to_numpy()), unk)
+        offsets, flat = patched(looked_up, known, unk)
+        ids = to_lists(offsets, flat, nulls_of(looked_up.field("ids")))
+        return pa.table({c: ids if c == found else rows[c] for c in columns})
+
+    return df.groupBy(part).cogroup(dictionary).applyInArrow(resolve, schema)
+
+
+def rare_tokens(df: DataFrame, part: list[str], found: str) -> DataFrame:
+    """``part, token``: the distinct tokens of each part that the head does not know."""
+    return df.select(*part, F.explode(f"{found}.rest").alias("token")).distinct()
+
+
+def patched(found: pa.Array, known: pa.Table | None, unk: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and ids of a ``head_ids_and_rest`` array, rare tokens by a dictionary ``token, id``."""
+    ids, at, rest = (found.field(c) for c in IDS_AND_REST.names)
+    offsets, _ = list_offsets(ids)
+    flat = ids.flatten().to_numpy(zero_copy_only=False).copy()
+    _, counts = list_offsets(at)
+    places = np.repeat(offsets[:-1], counts) + at.flatten().to_numpy(zero_copy_only=False)
+    if known is None or not len(known):
+        flat[places] = unk
+    else:
+        entries = (known["token"].combine_chunks(), known["id"].fill_null(unk).combine_chunks().to_numpy())
+        flat[places] = _find(rest.flatten(), entries, unk)
+    return offsets, flat

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,15 +39,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
-    """Write ``df`` bucketed by ``key``: grouping by it later moves no row.
+def bucket_count(spark: SparkSession) -> int:
+    """More than shuffle partitions, so that few buckets hold much more than others."""
+    return min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
 
-    Rows stay in the task that writes them, so ``key`` should have few values per task.
+
+def materialise_bucketed(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """Write ``df`` bucketed by ``keys``: grouping by them later moves no row.
+
+    Rows stay in the task that writes them, so a task should have few values of the keys, or be one of
+    ``bucket_count`` partitions by them.
     """
     spark = df.sparkSession
-    # More buckets than shuffle partitions, so that few of them hold rows of several tasks.
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"textloom_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").option("path", scratch_path(spark, label))
-    writer.bucketBy(min(buckets, 100_000), key).saveAsTable(name)
+    writer.bucketBy(bucket_count(spark), *keys).saveAsTable(name)
     return spark.table(name)
