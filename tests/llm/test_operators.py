@@ -501,3 +501,12 @@ def test_severity_falls_with_every_threshold():
     model = toxicity.fit_ordinal(hashes, [np.ones(len(h)) for h in hashes], np.arange(10) < 4)
     severity = model.severity(docs, hasher)
     assert (np.diff(model.thresholds) >= 0).all() and severity[:4].min() > severity[4:].max()
+
+
+def test_quality_judges_lines_of_any_length(spark):
+    menu = " | ".join(f"Link {k}" for k in range(60))
+    notice = "We use cookies and ask you to read our privacy policy before you sign up or log in here today. " * 8
+    prose = "The committee met on Tuesday and spoke at length about the roads of the county and their upkeep. " * 8
+    lines = [menu, notice.strip(), prose + "Readers may sign up.", prose + "a > b and b > c hold.", "word " * 100_000 + "."]
+    got = quality.judge(table(spark, ["\n".join(lines)], extra=False), cleaned="clean").first()
+    assert got.clean.split("\n") == lines[2:]

@@ -1,9 +1,10 @@
 """Quality rules on lines first, then on documents, in DataFrame functions alone.
 
 Every line is judged by itself: it fails if it is navigation, boilerplate, mostly symbols, or a
-short piece without closing punctuation.  Failing lines are removed, and a document that loses
-more than ``MAX_LOST`` of its characters in words is rejected.  Before that, documents of too few
-words or of too many repeated words are rejected as a whole.
+short piece without closing punctuation.  Navigation and boilerplate are told by density, in lines of
+any length: separators, or phrases of notices, for the number of words.  Failing lines are removed, and
+a document that loses more than ``MAX_LOST_PERCENT`` of its characters in words is rejected.  Before
+that, documents of too few words or of too many repeated words are rejected as a whole.
 
 Windows of words are compared by 64-bit hashes of their words.
 
@@ -27,7 +28,8 @@ WINDOW = 5
 MAX_LOST_PERCENT = 50
 MAX_SYMBOL_PERCENT = 15
 SHORT_LINE_WORDS = 4
-NOTICE_CHARS = 300
+# A menu has two separators at least, and few words between them; a notice has a phrase for so many words.
+MIN_SEPARATORS, MAX_ITEM_WORDS, MAX_PHRASE_WORDS = 2, 8, 40
 
 # Phrases of page furniture and notices.
 BOILERPLATE = (
@@ -35,7 +37,8 @@ BOILERPLATE = (
     r"|\buses? cookies\b|\bsign up\b|\blog ?in\b|\bsubscribe\b|\bclick here\b|\blorem ipsum\b"
     r"|\benable javascript\b|^licensed under\b|^released under\b|^this work is licensed under\b)"
 )
-NAVIGATION = r"( \| .* \| )|( [»›] .* [»›] )|( > .* > )|^\s*(home|menu|skip to content|next|previous|back to top)\s*$"
+SEPARATOR = r" [|»›>] "
+LINK = r"^(home|menu|skip to content|next|previous|back to top)$"
 CLOSED = r"[.!?:;…。！？][\"'”’»)\]]*\s*$"
 
 
@@ -122,22 +125,29 @@ def repeated_words(words: Column) -> Column:
 
 
 def line_passes(line: Column) -> Column:
-    """Whether a line stays; a line without words does.
-
-    Navigation and boilerplate are looked for in lines of at most ``NOTICE_CHARS`` characters:
-    longer ones are paragraphs, whatever phrase they hold.
-    """
+    """Whether a line stays; a line without words does."""
 
     def passes(bare: Column) -> Column:
         count = F.length(bare) - F.length(without(bare, SYMBOLS))
         symbols = 100 * count > MAX_SYMBOL_PERCENT * F.length(bare)
-        few = F.size(F.split(bare, r"[\x20\x09-\x0D]+")) <= SHORT_LINE_WORDS
-        notice = bare.rlike(NAVIGATION) | bare.rlike(BOILERPLATE) | (few & ~bare.rlike(CLOSED))
-        return (bare == "") | ~(((F.length(bare) <= NOTICE_CHARS) & notice) | symbols)
+        return (bare == "") | ~(symbols | let(F.size(F.split(bare, r"[\x20\x09-\x0D]+")), furniture(bare)))
 
     return let(F.btrim(line, F.lit(WHITE)), passes)
 
 
+def furniture(bare: Column):
+    """Of a number of words: whether a trimmed line with so many is a menu, a notice or a loose piece."""
+
+    def says(words: Column) -> Column:
+        separators = F.regexp_count(bare, F.lit(SEPARATOR))
+        menu = (separators >= MIN_SEPARATORS) & (words <= MAX_ITEM_WORDS * (separators + 1))
+        notice = MAX_PHRASE_WORDS * F.regexp_count(bare, F.lit(BOILERPLATE)) >= words
+        loose = (words <= SHORT_LINE_WORDS) & ~bare.rlike(CLOSED)
+        return menu | bare.rlike(LINK) | notice | loose
+
+    return says
+
+
 def clean_lines(text: Column) -> Column:
     """The text without its failing lines."""
     return F.array_join(F.filter(F.split(text, "\n", -1), line_passes), "\n")

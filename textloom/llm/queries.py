@@ -195,13 +195,14 @@ lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
 bare AS (SELECT doc_id, line, {_LINE} AS b FROM lines),
 judged AS (
   SELECT doc_id, line, b, length(regexp_replace(b, '{_WHITE}', '', 'g')) AS chars,
-         (length(b) <= {quality.NOTICE_CHARS} AND (
-            regexp_matches(b, '{quality.NAVIGATION}') OR regexp_matches(b, '{quality.BOILERPLATE}')
-            OR (len(regexp_extract_all(b, '[^\x20\x09-\x0D]+')) <= {quality.SHORT_LINE_WORDS}
-                AND NOT regexp_matches(b, '{quality.CLOSED.replace("'", "''")}'))))
+         (seps >= {quality.MIN_SEPARATORS} AND ws <= {quality.MAX_ITEM_WORDS} * (seps + 1))
+         OR regexp_matches(b, '{quality.LINK}')
+         OR {quality.MAX_PHRASE_WORDS} * len(regexp_extract_all(b, '{quality.BOILERPLATE}')) >= ws
+         OR (ws <= {quality.SHORT_LINE_WORDS} AND NOT regexp_matches(b, '{quality.CLOSED.replace("'", "''")}'))
          OR 100 * (length(b) - length(regexp_replace(b, '[#*$%&|<>]', '', 'g')))
             > {quality.MAX_SYMBOL_PERCENT} * length(b) AS failing
-  FROM bare WHERE b <> ''),
+  FROM (SELECT *, len(regexp_extract_all(b, '[^\x20\x09-\x0D]+')) AS ws,
+               len(regexp_extract_all(b, '{quality.SEPARATOR}')) AS seps FROM bare WHERE b <> '')),
 kept_lines AS (
   SELECT doc_id, sum(CASE WHEN failing THEN chars ELSE 0 END)::BIGINT AS lost,
          (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines
