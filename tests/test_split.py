@@ -67,3 +67,12 @@ def test_required_split(spark):
     assert require_split(presplit(spark), "train").count() == 24
     with pytest.raises(ValueError):
         require_split(presplit(spark), "dev")
+
+
+def test_rows_without_a_split_are_carried_along(spark):
+    rows = [("train", i) for i in range(4)] + [("validation", 0), (None, 0), ("test", 0)]
+    df = spark.createDataFrame(rows, "split string, pos long")
+    got = with_validation(df, 25, use_presplit=False).collect()
+    assert sorted(((r.split or "-"), r.pos) for r in got) == [
+        ("-", 0), ("test", 0), ("train", 0), ("train", 1), ("train", 2), ("validation", 0)
+    ]

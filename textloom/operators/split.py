@@ -37,7 +37,7 @@ def with_validation(
 ) -> DataFrame:
     """Keep an existing validation split if wanted, else cut a new one from the train rows.
 
-    A replaced validation split is dropped; other splits are carried along.  ``splits`` names
+    A replaced validation split is dropped; other splits, also rows of none, are carried along.  ``splits`` names
     the splits of a stream, whose rows cannot be looked at beforehand.
     """
     if splits is not None:
@@ -54,7 +54,7 @@ def with_validation(
         )
     columns = df.columns
     train = head_percent_split(df.where(F.col("split") == TRAIN), pct).select(*columns)
-    others = df.where(~F.col("split").isin(TRAIN, VALIDATION))
+    others = df.where(F.col("split").isNull() | ~F.col("split").isin(TRAIN, VALIDATION))
     return train.unionByName(others)
 
 
