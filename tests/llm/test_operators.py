@@ -510,3 +510,33 @@ def test_quality_judges_lines_of_any_length(spark):
     lines = [menu, notice.strip(), prose + "Readers may sign up.", prose + "a > b and b > c hold.", "word " * 100_000 + "."]
     got = quality.judge(table(spark, ["\n".join(lines)], extra=False), cleaned="clean").first()
     assert got.clean.split("\n") == lines[2:]
+
+
+def test_severity_against_plain_sums(spark, sf_dir):
+    """The score of every document, word by word, from the model's weights."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    hasher, known = toxicity.Hasher(), {}
+
+    def of(word):
+        if word not in known:
+            known[word] = [weight[h] for h in toxicity.features(pa.array([word]), hasher)[0].tolist() if h in weight]
+        return known[word]
+
+    got = {r.doc_id: r.severity for r in toxicity.score(docs, model).collect()}
+    assert len(weight) > 10
+    for row in docs.collect():
+        counts = {}
+        for word in re.findall("[0-9A-Za-z\u0080-\U0010ffff]+", row.text):
+            word = "".join(c.lower() if c < "\u0080" else c for c in word)
+            for k, _ in enumerate(of(word)):
+                counts[word, k] = counts.get((word, k), 0) + 1
+        # Words of the same beginning count together for it.
+        parts = {}
+        for (word, k), n in counts.items():
+            hashes = [h for h in toxicity.features(pa.array([word]), hasher)[0].tolist() if h in weight]
+            parts[hashes[k]] = parts.get(hashes[k], 0) + n
+        score = sum(weight[h] * np.log1p(n) for h, n in parts.items())
+        plain = sum(1 / (1 + np.exp(-(score - t))) for t in model.thresholds)
+        assert abs(got[row.doc_id] - plain) < 1e-9

@@ -44,7 +44,7 @@ from textloom.llm.words import STEPS, Hasher, mix, pieces, shingles, signed, wor
 from textloom.sources.scratch import materialise
 
 # Chunks of signatures, by rows and by bytes; groups of more chunks are linked within before they are pruned.
-SIGNATURE_CHUNK, MAX_SIGNATURE_CHUNK, PRUNED_CHUNKS = 2048, 2048, 8
+SIGNATURE_CHUNK, MAX_SIGNATURE_CHUNK, PRUNED_CHUNKS = 8192, 2048, 8
 SIGNATURE_BYTES = 1 << 23
 # Node pairs of a traversal that are looked at together.
 FRONTIER = 1 << 13
@@ -674,7 +674,7 @@ def _across(rows: DataFrame) -> DataFrame:
         F.sum("m").alias("m"),
         (F.sum("m") - F.max("m")).alias("others"),
     )
-    per_chunk = F.least(F.greatest(F.col("m") / 32, F.lit(SIGNATURE_CHUNK)), F.lit(MAX_SIGNATURE_CHUNK))
+    per_chunk = F.lit(MAX_SIGNATURE_CHUNK)
     main = main.where(F.col("others") > 0).select(
         "anchor", "main", F.ceil(F.col("m") / per_chunk).alias("chunks"), F.ceil(F.col("others") / per_chunk).alias("blocks")
     )

@@ -276,3 +276,28 @@ SELECT p.doc_id, p.leaf, s.subroot, c.digest AS root, sha256(a.proof) AS proof_s
        a.digest AS folded_root, a.digest = c.digest AS verified
 FROM placed p JOIN above a ON a.doc_id = p.doc_id AND a.n = 1 JOIN crown c ON c.n = 1
 JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.tree"""
+
+# All pairs that share a shingle; components as all that links reach.
+ORACLES["op4_ngram_jaccard"] = r"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS shingle
+  FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * common >= 90 * (s.n + t.n - common)),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM texts
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.y) AS component_id,
+       (SELECT count(*) FROM links l WHERE l.x = t.doc_id) AS n_links
+FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id JOIN reached r ON r.x = t.doc_id
+GROUP BY t.doc_id, s.n"""
