@@ -540,3 +540,78 @@ def test_severity_against_plain_sums(spark, sf_dir):
         score = sum(weight[h] * np.log1p(n) for h, n in parts.items())
         plain = sum(1 / (1 + np.exp(-(score - t))) for t in model.thresholds)
         assert abs(got[row.doc_id] - plain) < 1e-9
+
+
+def plain_template_words(text):
+    """``(value, kind, begins a line)`` of texts without bullets and letters beyond ASCII."""
+    out, last = [], None
+    for m in re.finditer(r"[0-9]+(?:[.,][0-9]+)*|[A-Za-z]+", text):
+        before = text[: m.start()].rstrip(" \t\"'()-*#>")
+        kind = "literal"
+        if m[0][0].isdigit():
+            kind = "number"
+        elif out and out[-1][1] == "number" and m.start() - last <= 1 and m[0].lower() in decontam.UNITS:
+            kind = "unit"
+        elif m[0][0].isupper() and before and before[-1] not in "\n\r!.:?":
+            kind = "name"
+        line = last is None or "\n" in text[last : m.start()]
+        out.append((m[0].lower(), kind, line))
+        last = m.end()
+    return out
+
+
+def plain_windows(text, sizes=None):
+    """Usable windows by template and slots, and by values, of every length asked for."""
+    words = plain_template_words(text)
+    for length in sizes or [min(len(words), 13)]:
+        for at in range(len(words) - length + 1 if length else 0):
+            part = words[at : at + length]
+            if sum(k == "literal" for _, k, _ in part) >= (8 if length == 13 else 5):
+                slots = tuple(
+                    next(j for j in range(i + 1) if part[j][:2] == part[i][:2]) if part[i][1] != "literal" else None
+                    for i in range(length)
+                )
+                yield "template", tuple(v if k == "literal" else k for v, k, _ in part), slots
+            bare = length < 13 and (length < 3 or all(k == "number" for _, k, _ in part))
+            ends = at + length == len(words) or words[at + length][2]
+            if not bare or (part[0][2] and ends):
+                yield "values", tuple(v for v, _, _ in part), None
+
+
+def test_contaminated_windows_against_plain_sets(spark):
+    rng = random.Random(12)
+    common = "the of and to in a is that for it was on are with as at be this have from or had by".split()
+
+    def sentence(n):
+        words = [rng.choice(common) for _ in range(n)]
+        for k in range(1, n):
+            if rng.random() < 0.25:
+                words[k] = rng.choice(["Anna", "Berlin", "Kofi", "12", "3.5", "1,000", "7 km", "40 percent"])
+        return " ".join(words).capitalize() + rng.choice([". ", "? ", ".\n", "\n"])
+
+    items = ["".join(sentence(rng.randint(1, 12)) for _ in range(rng.randint(1, 4))).strip() for _ in range(40)]
+    items += ["Why?", "3 4 5", "", None, items[0]]
+    swap = {"Anna": "Marta", "Berlin": "Oslo", "12": "99", "3.5": "8.25", "7": "31", "40": "55"}
+    docs = [None, ""]
+    for k in range(150):
+        text = "".join(sentence(rng.randint(1, 15)) for _ in range(rng.randint(1, 6)))
+        item = rng.choice(items) or ""
+        if k % 3 == 0:
+            item = re.sub("|".join(map(re.escape, swap)), lambda m: swap[m[0]], item)
+        if k % 5 == 0:
+            item = item.upper()
+        docs.append(text + (item + "\n" if k % 2 else "") + sentence(5))
+    known, sizes = {}, set()
+    for id, item in enumerate(items):
+        for window in plain_windows(item or ""):
+            known[window] = min(known.get(window, id), id)
+            sizes.add(len(window[1]))
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").repartition(2)
+    windows = decontam.benchmark_windows(frame).cache()
+    got = {r.doc_id: (r.n_hits, r.item_id) for r in decontam.decontaminate(table(spark, docs, extra=False), windows).collect()}
+    hits = 0
+    for k, text in enumerate(docs):
+        found = [known[w] for w in plain_windows(text or "", sorted(sizes)) if w in known]
+        hits += bool(found)
+        assert got[None if k == 1 else k] == (len(found), min(found, default=None)), text
+    assert 40 < hits < len(docs)
