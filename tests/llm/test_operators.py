@@ -615,3 +615,33 @@ def test_contaminated_windows_against_plain_sets(spark):
         hits += bool(found)
         assert got[None if k == 1 else k] == (len(found), min(found, default=None)), text
     assert 40 < hits < len(docs)
+
+
+def test_word_pieces_of_documents_against_a_plain_loop(spark, sf_dir, coder):
+    """Words of letters and single marks, cut from whole texts, by greedy matching in the file's tokens."""
+    codes = {c: b for b, c in enumerate(bpe.byte_symbols())}
+    found = set()
+    for token in coder.tokens:
+        if token and token not in coder.specials:
+            body = bytes(codes[c] for c in token.removesuffix("</w>")).lower()
+            found.add((*body, *((wordpiece.END_BYTE,) if token.endswith("</w>") else ())))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, t) for t in TEXTS]
+    known = {}
+
+    def count(word):
+        if word not in known:
+            # No piece of the file is longer than this.
+            known[word] = greedy(word, found, found) if len(word) < 60 else None
+        return known[word]
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = wordpiece.count_tokens(df, wordpiece.from_bpe(coder), keep=["text"]).collect()
+    checked = 0
+    for row in got:
+        words = re.findall(rb"[0-9a-z\x80-\xff]+|[^ \t\n\x0b\x0c\r]", (row.text or "").encode().lower())
+        counts = [count(w) for w in words]
+        if None not in counts:
+            assert row.n_tokens == sum(counts), row.text
+            checked += 1
+    assert checked >= len(rows) - 2
