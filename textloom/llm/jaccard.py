@@ -542,7 +542,7 @@ def _of_classes(
     return materialise(found.join(wanted.select("s1", "s2"), ["s1", "s2"], "left_semi"), name)
 
 
-def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold) -> DataFrame:
+def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold, chunk_rows: int) -> DataFrame:
     """``anchor, s1, s2, n``: the members of each group less those that no signature gives a partner.
 
     Groups are cut into chunks, and all pairs of chunks are traversed, while they are few; larger
@@ -553,7 +553,7 @@ def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold)
     size = F.greatest(F.lit(32), F.col("n") * per_gram / 4)
     plan = rows.groupBy("anchor").agg(
         F.greatest(
-            F.ceil(F.count(F.lit(1)) / SIGNATURE_CHUNK), F.ceil(F.sum(size) / SIGNATURE_BYTES)
+            F.ceil(F.count(F.lit(1)) / chunk_rows), F.ceil(F.sum(size) / SIGNATURE_BYTES)
         ).alias("chunks")
     )
     placed = rows.join(materialise(plan, "chunks"), "anchor")
@@ -572,7 +572,8 @@ def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold)
 
 
 def _hopeful_members(
-    df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str
+    df: DataFrame, measured: DataFrame, classes: DataFrame, size: int, t: Threshold, id: str, text: str,
+    chunk_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame] | None:
     """``anchor, s1, s2, n`` of the groups, and the signatures and sets, or None if nothing can be linked."""
     bits = key_bits(measured.agg(F.sum("n")).first()[0] or 0)
@@ -586,7 +587,7 @@ def _hopeful_members(
     rows = materialise(grouped.join(wanted.select("s1", "s2", "n"), "s1"), "members")
     for per_gram in (COARSE, FINE):
         signatures = _of_classes(df, wanted, size, id, text, "signature", lambda g, k=per_gram: signature(g, k))
-        rows = _pruned(rows, signatures, per_gram, t)
+        rows = _pruned(rows, signatures, per_gram, t, chunk_rows or SIGNATURE_CHUNK)
         if rows.isEmpty():
             return None
         left = rows.select("s1", "s2").distinct()
@@ -726,19 +727,21 @@ def join_links(
 
 def join_components(
     df: DataFrame, size: int = 3, num: int = 90, den: int = 100, id: str = "doc_id", text: str = "text",
-    counted: bool = False,
+    counted: bool = False, chunk_rows: int | None = None,
 ) -> DataFrame:
     """``id, n, s1, s2, component, label``: for every row its set and the smallest id linked with it.
 
     Rows are linked if ``den * intersection >= num * union`` holds for their sets of n-grams of
     ``size`` words.  Only ``label``, the digest of the component's smallest class, tells components
     apart whatever the ids; it is null for a row without n-grams.  If ``counted``, ``n_links`` is the
-    number of other rows that a row is linked with, rows of the same set included.
+    number of other rows that a row is linked with, rows of the same set included.  Groups are
+    pruned in chunks of ``chunk_rows`` (``SIGNATURE_CHUNK``): larger ones copy fewer rows, smaller ones
+    spread large groups of near copies over more tasks.  The result is the same.
     """
     t = Threshold(num, den)
     measured = materialise(measure(df, size, id, text), "measured")
     classes = _classes(measured)
-    found = _hopeful_members(df, measured, classes, size, t, id, text)
+    found = _hopeful_members(df, measured, classes, size, t, id, text, chunk_rows)
     links = F.col("rows") - 1
     if counted and found is not None:
         parts = materialise(_exact(found[0], found[2], classes, t, counted=True), "counts")

@@ -105,7 +105,7 @@ def op7_main_text(spark, sf):
 @query
 def op4_ngram_jaccard(spark, sf):
     """The component and number of links of every document in the exact join of 3-word shingles at 0.9."""
-    joined = jaccard.join_components(documents(spark, sf), size=3, num=90, den=100, counted=True)
+    joined = jaccard.join_components(documents(spark, sf), size=3, num=90, den=100, counted=True, chunk_rows=2048)
     return joined.select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
