@@ -344,6 +344,104 @@ def test_span_model_agrees_with_all_segmentations():
     assert chosen == pytest.approx(best(0))
 
 
+@pytest.fixture(scope="module")
+def span_model():
+    return pii.train([])
+
+
+def test_stretches_give_the_spans_of_the_whole_line(span_model):
+    rng = random.Random(6)
+    some = ["319", "555", "5132", "(319)", "call", "a", "b", "@", "x.org", "jo@home", "12:30", "[at]", "[dot]", "net.", "?!", "0319-5555132"]
+    for _ in range(400):
+        text = " ".join(rng.choice(some if rng.random() < 0.4 else ["a", "of", "b"]) for _ in range(rng.randint(1, 60)))
+        whole = pii._stretch(text, [m.span() for m in pii.CHUNK.finditer(text)])
+        spans = [(*pii.bounds(text, whole.chunks, f, c), k) for f, c, k in span_model.decode(whole)]
+        assert sorted((s, k, e) for s, e, k in spans) == sorted(span_model.spans(text)), text
+
+
+def test_marginals_of_all_segmentations():
+    rng = np.random.default_rng(8)
+    parts = [next(iter(pii.stretches(t))) for t in ("x 12 34 56 y", "1", "a 2 b", "7 8 9 10 11 12 13")]
+    weights = rng.normal(size=(len(pii.KINDS), pii.FEATURES))
+    scores = [p.features @ weights.T for p in parts]
+    got = pii.Sums([np.array(p.spans) for p in parts], [len(p.chunks) for p in parts]).marginals(np.concatenate(scores))
+
+    def all_ways(part, at=0):
+        if at >= len(part.chunks):
+            yield ()
+            return
+        yield from all_ways(part, at + 1)
+        for k, (first, count) in enumerate(part.spans):
+            if first == at:
+                for kind in range(len(pii.KINDS)):
+                    yield from (((k, kind), *rest) for rest in all_ways(part, at + count))
+
+    at = 0
+    for part, own in zip(parts[:3], scores, strict=False):
+        weight = np.zeros_like(own)
+        total = 0.0
+        for way in all_ways(part):
+            p = np.exp(sum(own[k] for k in way))
+            total += p
+            for k in way:
+                weight[k] += p
+        assert np.allclose(got[at : at + len(own)], weight / total)
+        at += len(own)
+
+
+def test_added_spans_of_held_out_lines(span_model):
+    found, there, false, lines = [0] * 4, [0] * 4, 0, pii.labelled_lines(800, seed=4711)
+    for text, gold in lines:
+        base, spans = pii.all_spans(text, span_model)
+        assert base == plain_spans(text) and set(base) <= set(spans)
+        wanted = set(gold) - set(base)
+        false += len(set(spans) - set(base) - wanted)
+        for span in wanted:
+            there[span[1]] += 1
+            found[span[1]] += span in spans
+    assert min(there) > 60 and all(f >= 0.9 * t for f, t in zip(found, there, strict=True)), (found, there)
+    assert false <= 0.02 * len(lines)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("phone: 319 555 5132", "phone", "319 555 5132"),
+        ("call 0319-5555132.", "phone", "0319-5555132"),
+        ("write to jane.doe@localhost now", "email", "jane.doe@localhost"),
+        ("it is jane.doe @ example.com, I think", "email", "jane.doe @ example.com"),
+        ("x" * 450 + " @ example.com", "email", "x" * 450 + " @ example.com"),
+        ("jane [at] example [dot] com", "email", "jane [at] example [dot] com"),
+        ("server 2001:db8::1 ok", "ip", "2001:db8::1"),
+    ],
+)
+def test_spans_beyond_the_patterns(span_model, text, kind, span):
+    base, spans = pii.all_spans(text, span_model)
+    assert not base
+    assert [(pii.KINDS[k], text[s:e]) for s, k, e in spans] == [(kind, span)]
+
+
+def test_numbers_that_are_no_personal_data(span_model):
+    text = "On 2024-05-17 at 12:30 it cost $1,299.00 for 3 of 12 items.\nSee chapter 12, page 340.\nVersion v2.14.1 @home"
+    assert pii.all_spans(text, span_model) == ([], [])
+
+
+def test_added_spans_lie_apart_from_base_spans():
+    rng = random.Random(9)
+    for _ in range(500):
+        base, more = ([(s, 0, s + rng.randint(1, 9)) for s in (rng.randrange(40) for _ in range(n))] for n in (4, 6))
+        plain = [m for m in more if not any(s < m[2] and m[0] < e for s, _, e in base)]
+        assert pii.apart_from(more, base) == plain
+
+
+def test_training_lines_are_different(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", seen.extend)
+    texts = [f"line {i % 60} of text\nno sign here" for i in range(6000)] + [None, ""]
+    pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert sorted(seen) == sorted({f"line {i} of text" for i in range(60)})
+
+
 def test_main_text_of_unseen_layouts():
     model = htmltext.fit()
     pages = htmltext.labelled_pages(150, seed=99)
