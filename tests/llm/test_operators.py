@@ -442,6 +442,23 @@ def test_training_lines_are_different(spark, monkeypatch):
     assert sorted(seen) == sorted({f"line {i} of text" for i in range(60)})
 
 
+FIRST = "The council met on Monday to talk about the new bridge over the river. It was agreed that work begins in May."
+SECOND = "Residents asked how long the road would be closed. The mayor said that no date had been fixed yet, but soon."
+
+
+@pytest.mark.parametrize(
+    ("body", "blocks"),
+    [
+        (f"<article><h1>A bridge</h1><p>{FIRST}</p><div class=notice>We use cookies.</div><p>{SECOND}</p></article>", ("A bridge", FIRST, SECOND)),
+        (f"<div><div>{FIRST}</div><div>{SECOND}</div></div>", (FIRST, SECOND)),
+        (f'<div class=post><div class="entry-title">A bridge for all</div><p>{FIRST}</p><p>{SECOND}</p></div>', ("A bridge for all", FIRST, SECOND)),
+        (f"<article><header><h1>A bridge</h1></header><p>{FIRST}</p></article>", ("A bridge", FIRST)),
+    ],
+)
+def test_main_text_of_ordinary_pages(body, blocks):
+    assert htmltext.main_text(f"<html><body>{body}</body></html>", htmltext.fit()) == "\n".join(blocks)
+
+
 def test_main_text_of_unseen_layouts():
     model = htmltext.fit()
     pages = htmltext.labelled_pages(150, seed=99)

@@ -403,20 +403,33 @@ class _Maker:
         def block(tag: str, text: str, closed: bool = True) -> None:
             gold.append(text)
             inner = text
-            if rng.random() < 0.15:
+            chance = rng.random()
+            if chance < 0.04 and tag != "h1":
+                inner = f'<a href="/y">{text}</a>'
+            elif chance < 0.15:
                 head, _, tail = text.partition(" ")
                 inner = f'<a href="/y">{head}</a> {tail}' if tail else text
             elif rng.random() < 0.2:
                 inner = f"<b>{text}" + ("</b>" if closed else "")
             out.append(f"<{tag}>{inner}" + (f"</{tag}>" if closed else "<br>"))
 
-        if rng.random() < 0.9:
+        # Some layouts have neither paragraphs nor headings, but divisions.
+        bare = rng.random() < 0.15
+        title = rng.random()
+        if title < 0.7:
             block("h1", self.words(2, 12, rng.choice(("", ".", "?"))))
+        elif title < 0.8:
+            gold.append(self.words(2, 12))
+            name = rng.choice(("title", "entry-title", "post-title", "headline"))
+            out.append(f'<div class="{name}">{gold[-1]}</div>')
+        elif title < 0.88:
+            gold.append(self.words(2, 12))
+            out.append(f"<header><h1>{gold[-1]}</h1></header>")
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             if kind < 0.66:
                 text = self.words(1, 3, ".") if rng.random() < 0.15 else self.sentences(1, 7)
-                block("p", text, closed=rng.random() < 0.85)
+                block("div" if bare else "p", text, closed=bare or rng.random() < 0.85)
             elif kind < 0.76:
                 block(rng.choice(("h2", "h3", "h4")), self.words(1, 7))
             elif kind < 0.84:
@@ -426,7 +439,7 @@ class _Maker:
                 out.append("</ul>")
             elif kind < 0.9:
                 block(rng.choice(("blockquote", "pre", "figcaption", "div", "dd")), self.sentences(1, 3))
-            elif kind < 0.94:
+            elif kind < 0.92:
                 out.append("<table><tr>")
                 for _ in range(rng.randint(1, 4)):
                     block("td", self.words(1, 5))
@@ -446,6 +459,9 @@ class _Maker:
             before.insert(0, self.box((("header", ""), ("div", "header"), ("div", "masthead"), ("header", "site-header")), rng.choice((self.words(1, 4), f"<h1>{self.words(1, 4)}</h1>", f"<p>{self.words(1, 6)}</p>{self.links(2, 5)}"))))
         if rng.random() < 0.8:
             after.append(self.box((("footer", ""), ("div", "footer"), ("div", "copyright")), rng.choice(("&copy; ", "")) + self.words(1, 5) + rng.choice((" &middot; ", " ")) + self.sentences(1, 2)))
+        if rng.random() < 0.2:
+            # An article alone, without anything around it.
+            before, after = [], []
         body = self.box((("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article-body"), ("section", "entry"), ("div", "story"), ("div", "")), inner) if rng.random() < 0.93 else inner
         if rng.random() < 0.3:
             body = self.box((("main", ""), ("div", "page"), ("div", "wrapper"), ("div", "container")), body)
