@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Observation
 
 from explain import exchanges, explained
+from textloom.functions import labels
 from textloom.operators import collate as L
 
 MARKER, EOS, IGNORE = [7, 8, 9], 2, -100
@@ -90,6 +92,23 @@ def test_masks_match_brute_force(spark, pad, marker):
     assert {r.batch_no: r.failed for r in counts} == failed
 
 
+def test_masks_take_pieces_of_a_batch(spark, monkeypatch):
+    """Memory follows a piece, not an Arrow batch: pieces end between rows and lose none."""
+    monkeypatch.setattr(labels, "PIECE_IDS", 12)
+    assert labels.runs_of(np.array([3, 0, 9, 30, 1, 1]), 12) == [(0, 3), (3, 4), (4, 6)]
+    assert labels.runs_of(np.array([], dtype=int), 12) == []
+    rng = random.Random(5)
+    rows = HAND + [random_row(rng) for _ in range(60)]
+    df = spark.createDataFrame(
+        [("train", i, r) for i, r in enumerate(rows)], "split string, pos long, input_ids array<int>"
+    ).coalesce(1)
+    masked = {r.pos: r for r in L.response_mask(L.collate_causal(df, 1, 0), MARKER, EOS, 0).collect()}
+    for i, row in enumerate(rows):
+        kept, attention, plain = (x[0] for x in plain_collate([row], 0))
+        answer, well_formed = plain_mask(plain_restore(plain, attention, 0)[0], MARKER)
+        assert (masked[i].input_ids, masked[i].labels, masked[i].well_formed) == (kept, answer, well_formed)
+
+
 def test_a_marker_is_needed(spark):
     df = spark.createDataFrame([("train", 0, [1])], "split string, pos long, input_ids array<int>")
     with pytest.raises(ValueError):
