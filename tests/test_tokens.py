@@ -1,9 +1,12 @@
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from explain import exchanges, explained
+from textloom.operators import tokens as token_rows
+from textloom.operators import vocab as vocabularies
 from textloom.operators.tokens import (
     attention_mask,
     encode_batches,
@@ -12,6 +15,7 @@ from textloom.operators.tokens import (
     tokenize,
 )
 from textloom.operators.vocab import Specials, Vocabulary, build_vocab
+from textloom.sources.scratch import materialise_bucketed
 
 TEXTS = [
     "a b c a b a",
@@ -133,6 +137,36 @@ def test_tail_ids_of_null_and_repeated_keys(spark):
     assert sorted(((r.doc_id or 0), r.input_ids) for r in got) == [(0, [3, 0]), (0, [4]), (1, [3, 4, 3]), (1, [4, 3])]
 
 
+def test_parts_do_not_grow_with_the_input(spark, monkeypatch):
+    """The rows of a task are looked up in parts of bounded size, each next to its own rare tokens."""
+    monkeypatch.setattr(vocabularies, "PIECE_BYTES", 40)
+    monkeypatch.setattr(vocabularies, "PART_BYTES", 100)
+    written = []
+
+    def spy(df, *how):
+        written.append(materialise_bucketed(df, *how))
+        return written[-1]
+
+    monkeypatch.setattr(token_rows, "materialise_bucketed", spy)
+    texts = ["a b c", None, "d " * 80, "", "a e"] * 20
+    df = corpus(spark, texts).coalesce(1)
+    vocab = Vocabulary(build_vocab(df), head=4)
+    plain = Vocabulary(vocab.table, head=1_000)
+    got = {r.pos: r.input_ids for r in tokenize(df, vocab).collect()}
+    assert got == {r.pos: r.input_ids for r in tokenize(df, plain).collect()}
+    sizes = [r["n"] for r in written[0].groupBy("_part").agg(F.sum(F.size("input_ids.ids")).alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) <= 80 + 50
+
+
+def test_lookups_take_pieces_of_a_batch(spark, monkeypatch):
+    """Memory follows a piece, not an Arrow batch: no call sees more than a piece or one row."""
+    monkeypatch.setattr(vocabularies, "PIECE_BYTES", 10)
+    rows = pa.array(["a b", None, "", "c d e f g h i", "a", "b c", "x"])
+    pieces = [(at, piece.to_pylist()) for at, piece, _ in vocabularies._pieces(rows)]
+    assert pieces == [(0, ["a b", None, ""]), (3, ["c d e f g h i"]), (4, ["a", "b c", "x"])]
+    assert not list(vocabularies._pieces(rows.slice(0, 0)))
+
+
 def test_the_tail_moves_no_ids(spark):
     """Only tokens are shuffled: ids are read again where they were written."""
     vocab = Vocabulary(build_vocab(corpus(spark)), head=5)
