@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from explain import exchanges, explained
 from textloom.operators.blocks import group_texts, row_batches
 from textloom.operators.tokens import tokenize
 from textloom.operators.vocab import Vocabulary, build_vocab
+from textloom.sources.scratch import materialise
 from textloom.streaming import jobs
 
 
@@ -104,6 +106,22 @@ def test_open_batches_are_carried_over_micro_batches(spark, tmp_path, batch_size
     assert all_blocks(spark.read.parquet(out)) == all_blocks(group_texts(tokens, 16, batch_size))
 
 
+def test_a_micro_batch_of_one_file_is_spread(spark, tmp_path, monkeypatch):
+    """Texts are lexed on all cores, however few files they come in."""
+    plans = []
+
+    def spy(df, label):
+        plans.append(explained(df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(jobs, "materialise", spy)
+    arrive(spark, [(i, f"a b w{i}") for i in range(30)], f"{tmp_path}/in")
+    stream = jobs.stream_corpus(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    vocab = Vocabulary(build_vocab(spark.read.parquet(f"{tmp_path}/in")))
+    jobs.stream_group_texts(stream, vocab, 4, f"{tmp_path}/out", f"{tmp_path}/state", batch_size=10)
+    assert [x for x in exchanges(plans[0]) if "text#" in x and "pos#" in x]
+
+
 def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
     """The last commit is taken back, as after a failure between writing and committing."""
     rows = [(i, " ".join(f"w{(i * k) % 13}" for k in range(20))) for i in range(30)]
