@@ -180,6 +180,39 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch, setting):
     assert got == brute_components(rows, *setting)
 
 
+def test_jaccard_groups_of_packed_keys(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PACKED_KEYS", 50)
+    rng = random.Random(5)
+    base = [[rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(60)] for _ in range(4)]
+    texts = [" ".join(b[:k] + ["x", str(k)] + b[k:]) for b in base for k in range(0, 60, 7)]
+    t = jaccard.Threshold(80, 100)
+    holders = {}
+    for grams in jaccard.sets_of(pa.array(texts), jaccard.Hasher(), 3):
+        for key in t.keys(grams) >> np.uint64(64 - 40):
+            holders.setdefault(int(key), set()).add(jaccard.digests(grams)[0] & jaccard.OWNER_MASK)
+    want = {(min(h), m) for h in holders.values() for m in h if m != min(h)}
+    df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(3)
+    got = jaccard.groups(jaccard.routes(df, 3, t, 40)).collect()
+    assert len(got) == len(want) and {(r.anchor, r.member) for r in got} == want
+
+
+def test_jaccard_groups_inside_others_go(spark):
+    rng = random.Random(3)
+    members = {a: set(rng.sample(range(12), rng.randint(2, 5))) for a in range(40)}
+    members |= {50: set(range(6)), 51: set(range(6)), 52: {1, 2, 4}, 53: {0, 11}}
+    rows = [(a, x, -x, 9) for a, own in members.items() for x in own]
+    left = jaccard._uncovered(spark.createDataFrame(rows, "anchor long, s1 long, s2 long, n long")).collect()
+    kept = {}
+    for r in left:
+        kept.setdefault(r.anchor, set()).add(r.s1)
+    assert all(kept[a] == members[a] for a in kept) and 50 in kept and not {51, 52} & set(kept)
+
+    def pairs(groups):
+        return {(x, y) for own in groups for x in own for y in own if x < y}
+
+    assert pairs(kept.values()) == pairs(members.values())
+
+
 def test_jaccard_links_against_all_pairs(spark, monkeypatch):
     for name, value in (("MIN_CHUNK", 8), ("MAX_CHUNK", 32), ("SIGNATURE_CHUNK", 8), ("PRUNED_CHUNKS", 2)):
         monkeypatch.setattr(jaccard, name, value)

@@ -1,7 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.sources import readers, writers
+from textloom.sources import readers, scratch, writers
 
 TEXTS = ['plain', 'with "quotes", commas', "two\nlines", "", "éè \U0001f600"]
 
@@ -127,3 +129,19 @@ def test_csv_lines_may_be_read_in_parts(spark, tmp_path):
     spark.range(50).selectExpr("id AS k", "concat('t', id) AS text").coalesce(1).write.csv(path, header=True)
     got = readers.load_files(spark, train=path, schema="k long, text string", ordered=True, multi_line=False)
     assert sorted((r.pos, r.k) for r in got.collect()) == [(k, k) for k in range(50)]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(scratch.CLEANUP, None)
+    rows = scratch.materialise(spark.range(1000).repartition(5, "id").groupBy("id").count(), "rows")
+    for _ in range(50):  # files go in the background
+        if not (more := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not more and rows.count() == 1000 and spark.conf.get(scratch.CLEANUP, None) == setting

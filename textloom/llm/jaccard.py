@@ -10,7 +10,7 @@ counted before any shuffle.  The join of different sets has three steps.
    partner might agree in empty ones only also gets the keys of its smallest hashes, as many as a
    linked pair must share one of.  So no link is lost, whatever the data.
 2. *Trees.*  All documents that share a key with the same anchor (the smallest class of the key) are
-   one group, each document once.  Its sets become the leaves of a signature tree, whose nodes hold the
+   one group, each document once; of groups that pruning leaves, those inside another one go.  Its sets become the leaves of a signature tree, whose nodes hold the
    OR of the bitmaps below, the range of sizes and the greatest excess of n-grams over bits.  A dual
    traversal drops node pairs whose greatest possible overlap is too small.  Two rounds of trees see
    bitmaps alone, coarse and then fine ones, and drop members without any hopeful partner; a last round
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,10 @@ FRONTIER = 1 << 13
 # Bits of a signature for each n-gram, for the first and the second round of pruning.
 COARSE, FINE = 2, 8
 SPARE = 2  # ranges beyond the greatest difference
+# Low bits of a routing key, shuffled in one number with the owner of the key; the others name its bucket.
+KEY_BITS, OWNER_MASK = 31, (1 << 32) - 1
+# Keys of a task that are packed together.
+PACKED_KEYS = 1 << 20
 FANOUT = 8
 MIN_CHUNK, MAX_CHUNK, MAX_CHUNK_GRAMS = 64, 1024, 1 << 21
 MAX_BROADCAST_IDS = 1 << 20
@@ -161,55 +165,83 @@ def key_bits(grams: int) -> int:
     return min(64, max(32, int(grams).bit_length() + 14))
 
 
+def owner(s1: str) -> Column:
+    """The part of ``s1`` that routing carries; it may stand for several classes."""
+    return F.col(s1).bitwiseAND(F.lit(OWNER_MASK))
+
+
+def packed(keys: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
+    """``bucket, entries``: per bucket the low bits of its keys, each with its owner in one number."""
+    bucket = keys >> np.uint64(KEY_BITS)
+    entries = signed((keys & np.uint64((1 << KEY_BITS) - 1)) << np.uint64(32) | owners)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    offsets = pa.array(np.append(at, len(bucket)), pa.int32())
+    lists = pa.ListArray.from_arrays(offsets, pa.array(entries[order]))
+    return pa.RecordBatch.from_arrays([pa.array(signed(bucket[at])), lists], names=["bucket", "entries"])
+
+
 def routes(df: DataFrame, size: int, t: Threshold, bits: int = 64, text: str = "text") -> DataFrame:
-    """``key, s1``: where each set meets its partners; equal sets once per task."""
+    """``bucket, entries``: where each set meets its partners; equal sets once per task.
+
+    An entry is the rest of a key and the owner of the set, so eight bytes are shuffled for a key.
+    """
     shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), set()
+        hasher, seen, keys, owners, held = Hasher(), set(), [], [], 0
         for batch in batches:
             for _, column in pieces(batch.column(0)):
-                keys, owners = [], []
                 for grams in sets_of(column, hasher, size):
                     if len(grams):
                         digest = digests(grams)
                         if digest not in seen:
                             seen.add(digest)
-                            keys.append(t.keys(grams))
-                            owners.append(digest[0])
-                if keys:
-                    owner = np.repeat(np.array(owners, np.int64), [len(k) for k in keys])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(np.concatenate(keys) >> shift)), pa.array(owner)], names=["key", "s1"]
-                    )
+                            own = t.keys(grams) >> shift
+                            keys.append(own)
+                            owners.append(np.full(len(own), digest[0] & OWNER_MASK, dtype=np.uint64))
+                            held += len(own)
+                            if held >= PACKED_KEYS:
+                                yield packed(np.concatenate(keys), np.concatenate(owners))
+                                keys, owners, held = [], [], 0
+        if held:
+            yield packed(np.concatenate(keys), np.concatenate(owners))
 
-    return df.select(F.col(text).alias("_read")).mapInArrow(run, "key long, s1 long")
+    return df.select(F.col(text).alias("_read")).mapInArrow(run, "bucket long, entries array<long>")
 
 
 def groups(routed: DataFrame) -> DataFrame:
-    """``anchor, member``: classes that share a key with a smaller one, the smallest of that key."""
+    """``anchor, member``: owners that share a key with a smaller one, the smallest of that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, anchor = None, None
         for batch in batches:
-            key, s1 = (c.to_numpy() for c in batch.columns)
+            key, own = (c.to_numpy() for c in batch.columns)
             if not len(key):
                 continue
             begins = np.concatenate(([last is None or key[0] != last], key[1:] != key[:-1]))
-            heads = np.where(begins, s1, 0)
+            heads = np.where(begins, own, 0)
             run_of = np.cumsum(begins)
             firsts = np.concatenate(([anchor if anchor is not None else 0], heads[begins]))
             anchors = firsts[run_of]
             last, anchor = key[-1], anchors[-1]
-            other = anchors != s1
+            other = anchors != own
             if other.any():
-                pairs = np.unique(np.stack((anchors[other], s1[other]), axis=1), axis=0)
+                pairs = np.unique(np.stack((anchors[other], own[other]), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["anchor", "member"]
                 )
 
-    sorted_keys = routed.repartition("key").sortWithinPartitions("key", "s1")
-    return sorted_keys.mapInArrow(run, "anchor long, member long").distinct()
+    # Keys are spread evenly, so buckets are dealt in turn.
+    parts = int(routed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = routed.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int"))
+    entries = placed.select("bucket", F.explode("entries").alias("entry"))
+    keys = entries.select(
+        F.shiftleft("bucket", KEY_BITS).bitwiseOR(F.shiftright("entry", 32)).alias("key"),
+        owner("entry").alias("owner"),
+    )
+    return keys.sortWithinPartitions("key", "owner").mapInArrow(run, "anchor long, member long").distinct()
 
 
 # ---- signature trees -----------------------------------------------------------------------------
@@ -516,7 +548,10 @@ def broadcast_ids(ids: DataFrame, column: str) -> DataFrame:
 def _of_classes(
     df: DataFrame, wanted: DataFrame, size: int, id: str, text: str, name: str, make
 ) -> DataFrame:
-    """``s1, s2, n`` and ``make(set)`` of the wanted classes, from the texts of their smallest ids."""
+    """``s1, s2, n`` and ``make(set)`` of the wanted classes, from the texts of their smallest ids.
+
+    Where ids repeat, classes may come several times, and others with them: readers join by ``s1, s2``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
@@ -538,8 +573,7 @@ def _of_classes(
     ids = materialise(wanted.select(F.col("rep").alias("_rep")).distinct(), "ids")
     texts = df.select(F.col(id).alias("_id"), F.col(text).alias("_read"))
     texts = texts.join(broadcast_ids(ids, "_rep"), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
-    found = texts.select("_read").mapInArrow(run, f"s1 long, s2 long, n long, {name} binary")
-    return materialise(found.join(wanted.select("s1", "s2"), ["s1", "s2"], "left_semi"), name)
+    return materialise(texts.select("_read").mapInArrow(run, f"s1 long, s2 long, n long, {name} binary"), name)
 
 
 def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold, chunk_rows: int) -> DataFrame:
@@ -568,7 +602,24 @@ def _pruned(rows: DataFrame, signatures: DataFrame, per_gram: int, t: Threshold,
     )
     kept = prune_units(units.join(signatures.drop("n"), ["s1", "s2"]), t)
     many = placed.where(F.col("chunks") > PRUNED_CHUNKS).select("anchor", "s1", "s2", "n")
-    return materialise(kept.unionByName(many), "pruned")
+    return _uncovered(materialise(kept.unionByName(many), "pruned"))
+
+
+def _uncovered(rows: DataFrame) -> DataFrame:
+    """``anchor, s1, s2, n`` less the groups that lie in another one, where all their pairs meet.
+
+    Documents that share many keys are in as many groups, most of them parts of the first.  The group
+    looked at is the largest that can hold all members: of the largest groups of each, the smallest.
+    Of equal groups that of the smallest anchor stays.
+    """
+    node = ["s1", "s2"]
+    sizes = materialise(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")), "sizes")
+    largest = rows.join(sizes, "anchor").groupBy(*node).agg(F.max(F.struct("m", (-F.col("anchor")).alias("last"))).alias("in"))
+    cover = rows.join(largest, node).groupBy("anchor").agg(F.min("in").alias("in"), F.count(F.lit(1)).alias("m"))
+    cover = cover.select("anchor", "m", (-F.col("in.last")).alias("by")).where(F.col("by") != F.col("anchor"))
+    held = rows.join(materialise(cover, "covers"), "anchor").join(rows.select(F.col("anchor").alias("by"), *node), ["by", *node])
+    gone = held.groupBy("anchor", "m").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") == F.col("m"))
+    return materialise(rows.join(materialise(gone.select("anchor"), "covered"), "anchor", "left_anti"), "pruned")
 
 
 def _hopeful_members(
@@ -580,11 +631,13 @@ def _hopeful_members(
     stars = materialise(groups(routes(df, size, t, bits, text)), "groups")
     if stars.isEmpty():
         return None
-    # Every group with its anchor, as classes; the first half of a digest may stand for several.
-    own = stars.select("anchor").distinct().withColumn("s1", F.col("anchor"))
-    grouped = own.unionByName(stars.select("anchor", F.col("member").alias("s1")))
-    wanted = materialise(classes.join(grouped.select("s1").distinct(), "s1"), "candidates")
-    rows = materialise(grouped.join(wanted.select("s1", "s2", "n"), "s1"), "members")
+    # Every group with its anchor, as classes; an owner may stand for several.
+    own = stars.select("anchor").distinct().withColumn("owner", F.col("anchor"))
+    grouped = own.unionByName(stars.select("anchor", F.col("member").alias("owner")))
+    named = classes.withColumn("owner", owner("s1"))
+    wanted = materialise(named.join(grouped.select("owner").distinct(), "owner"), "candidates")
+    rows = grouped.join(wanted.select("owner", "s1", "s2", "n"), "owner").select("anchor", "s1", "s2", "n")
+    rows = materialise(rows, "members")
     for per_gram in (COARSE, FINE):
         signatures = _of_classes(df, wanted, size, id, text, "signature", lambda g, k=per_gram: signature(g, k))
         rows = _pruned(rows, signatures, per_gram, t, chunk_rows or SIGNATURE_CHUNK)
@@ -634,7 +687,7 @@ def _links(rows: DataFrame, signatures: DataFrame, sets: DataFrame, t: Threshold
     rows = materialise(rows.join(plan, "anchor"), "members")
     zero = F.lit(0).cast("long")
     # The anchor goes to every chunk of its group.
-    chunk = F.when(F.col("s1") == F.col("anchor"), F.sequence(zero, F.col("chunks") - 1)).otherwise(
+    chunk = F.when(owner("s1") == F.col("anchor"), F.sequence(zero, F.col("chunks") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("s1"), F.col("chunks")))
     )
     units = rows.select(
