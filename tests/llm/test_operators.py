@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from textloom.llm import (
     bpe, decontam, htmltext, jaccard, pii, quality, toxicity, urlfilter, warc, wordpiece,
 )
+from textloom.llm.components import components
 
 VOCAB = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -213,6 +214,34 @@ def test_jaccard_groups_inside_others_go(spark):
     assert pairs(kept.values()) == pairs(members.values())
 
 
+def test_jaccard_units_give_stars(spark):
+    rng = random.Random(6)
+    sets = [np.sort(np.array(rng.sample(range(k << 20, (k << 20) + 200), 196), dtype=np.uint64)) for k in range(3) for _ in range(40)]
+    keys = [jaccard.digests(g) for g in sets]
+    rows = [(0, 0, 0, 0, k, *keys[k], g.tobytes()) for k, g in enumerate(sets)]
+    df = spark.createDataFrame(rows, "u1 long, u2 long, u3 long, side long, grp long, s1 long, s2 long, grams binary")
+    edges = jaccard.link_units(df, jaccard.Threshold(90, 100)).collect()
+    parts = [keys[at : at + 40] for at in (0, 40, 80)]
+    assert {(tuple(e.a), tuple(e.b)) for e in edges} == {(k, min(p)) for p in parts for k in p if k != min(p)}
+    assert len(edges) == 3 * 39
+
+
+def test_components_of_any_edges(spark):
+    rng = random.Random(8)
+    path = [(k, k + 1) for k in rng.sample(range(100, 140), 39)]
+    edges = path + [(200, k) for k in range(201, 240)] + [(k, 260) for k in range(240, 260)] + [(7, 7), (8, 9), (9, 8), (8, 9)]
+    edges += [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(45)]
+    label = {x: x for pair in edges for x in pair if pair[0] != pair[1]}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = [tuple(r) for r in components(df).collect()]
+    assert sorted(got) == sorted(label.items())
+    assert components(df.where("a = b")).count() == components(df.limit(0)).count() == 0
+
+
 def test_jaccard_links_against_all_pairs(spark, monkeypatch):
     for name, value in (("MIN_CHUNK", 8), ("MAX_CHUNK", 32), ("SIGNATURE_CHUNK", 8), ("PRUNED_CHUNKS", 2)):
         monkeypatch.setattr(jaccard, name, value)

@@ -392,6 +392,27 @@ def link(
     return found
 
 
+def as_stars(links: list[tuple[int, int]], s1: np.ndarray, s2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Linked rows and the smallest row each is connected with, the latter left out: as many edges at most."""
+    ends = np.unique(np.array(links))
+    order = ends[np.lexsort((s2[ends], s1[ends]))]
+    place = {k: at for at, k in enumerate(order.tolist())}
+    root = list(range(len(order)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for i, j in links:
+        p, q = find(place[i]), find(place[j])
+        root[max(p, q)] = min(p, q)
+    centre = np.array([find(k) for k in range(len(order))])
+    others = np.flatnonzero(centre != np.arange(len(order)))
+    return order[others], order[centre[others]]
+
+
 def all_links(
     sets: list[np.ndarray], group: np.ndarray, side: np.ndarray | None, t: Threshold
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -472,7 +493,11 @@ def prune_units(rows: DataFrame, t: Threshold) -> DataFrame:
 
 
 def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
-    """Edges ``a, b`` within units: rows ``u1, u2, u3, side, grp, s1, s2, grams``."""
+    """Edges ``a, b`` within units: rows ``u1, u2, u3, side, grp, s1, s2, grams``.
+
+    What a unit connects comes as stars around its smallest classes, not as the chains in which the links
+    were found, so that the components of all units are a few steps away.
+    """
 
     def solve(unit: pa.Table) -> pa.RecordBatch | None:
         side, grp, s1, s2 = (unit[c].to_numpy() for c in ("side", "grp", "s1", "s2"))
@@ -485,7 +510,7 @@ def link_units(rows: DataFrame, t: Threshold) -> DataFrame:
         links = link(sets, grp, side if side.any() else None, t)
         if not links:
             return None
-        i, j = np.array(links).T
+        i, j = as_stars(links, s1, s2)
         ends = [
             pa.StructArray.from_arrays([pa.array(s1[k]), pa.array(s2[k])], names=["s1", "s2"])
             for k in (i, j)
@@ -570,7 +595,8 @@ def _of_classes(
                         names=["s1", "s2", "n", name],
                     )
 
-    ids = materialise(wanted.select(F.col("rep").alias("_rep")).distinct(), "ids")
+    # ``wanted`` is a written table with each class once, so ids only come twice where rows share them.
+    ids = wanted.select(F.col("rep").alias("_rep"))
     texts = df.select(F.col(id).alias("_id"), F.col(text).alias("_read"))
     texts = texts.join(broadcast_ids(ids, "_rep"), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
     return materialise(texts.select("_read").mapInArrow(run, f"s1 long, s2 long, n long, {name} binary"), name)
@@ -655,7 +681,7 @@ def _exact(rows: DataFrame, sets: DataFrame, classes: DataFrame, t: Threshold, c
         F.greatest(F.ceil(F.count(F.lit(1)) / MAX_CHUNK), F.ceil(F.sum("n") / MAX_CHUNK_GRAMS)).alias("chunks")
     )
     anchors = rows.groupBy("s1", "s2").agg(F.collect_set("anchor").alias("anchors"))
-    known = classes.select("s1", "s2", "rows").join(materialise(anchors, "anchors"), ["s1", "s2"])
+    known = classes.select("s1", "s2", "rows").join(anchors, ["s1", "s2"])
     # Rows with repeated ids give a set several times.
     known = known.join(sets.select("s1", "s2", "grams"), ["s1", "s2"]).dropDuplicates(["s1", "s2"])
     known = materialise(known, "members")
@@ -694,8 +720,7 @@ def _links(rows: DataFrame, signatures: DataFrame, sets: DataFrame, t: Threshold
         F.col("anchor").alias("u1"), F.explode(chunk).alias("u2"), zero.alias("u3"), zero.alias("side"),
         F.xxhash64("s1", "s2").alias("grp"), "s1", "s2",
     )
-    edges = materialise(link_units(units.join(sets, ["s1", "s2"]), t), "links")
-    linked = materialise(components(edges), "components")
+    linked = materialise(components(link_units(units.join(sets, ["s1", "s2"]), t)), "components")
     split = rows.where(F.col("chunks") > 1)
     if split.isEmpty():
         return linked
@@ -797,7 +822,7 @@ def join_components(
     found = _hopeful_members(df, measured, classes, size, t, id, text, chunk_rows)
     links = F.col("rows") - 1
     if counted and found is not None:
-        parts = materialise(_exact(found[0], found[2], classes, t, counted=True), "counts")
+        parts = _exact(found[0], found[2], classes, t, counted=True)
         counts = materialise(parts.groupBy("s1", "s2").agg(F.sum("links").alias("links")), "counts")
         classes = materialise(classes.join(counts, ["s1", "s2"], "left"), "classes")
         links += F.coalesce("links", F.lit(0))
@@ -808,7 +833,7 @@ def join_components(
         named = materialise(classes.join(nodes, ["s1", "s2"]), "nodes")
         smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
         named = named.join(materialise(smallest, "names"), "label").select("n", "s1", "s2", "component", "label")
-        classes = classes.join(materialise(named, "named"), ["n", "s1", "s2"], "left")
+        classes = classes.join(named, ["n", "s1", "s2"], "left")
         # A component of null ids only has no smallest id, but a label.
         classes = classes.select(
             "n", "s1", "s2",
@@ -816,7 +841,6 @@ def join_components(
             F.coalesce("label", F.struct("s1", "s2")).alias("label"),
             "n_links",
         )
-        classes = materialise(classes, "classes")
     else:
         classes = classes.withColumnRenamed("rep", "component").withColumn("label", F.struct("s1", "s2"))
     joined = measured.join(classes, ["n", "s1", "s2"], "left")
