@@ -86,3 +86,12 @@ def test_blocks_with_specials_of_any_kind(spark, pad):
     for batch in (None, 100):
         got = B.text_blocks(B.row_batches(rows, batch), vocab, 8, batch).collect()
         assert {r.block_id: r.input_ids for r in got} == {i: flat[8 * i : 8 * i + 8] for i in range(len(flat) // 8)}
+
+
+def test_ids_are_written_as_bytes(spark):
+    """Neither the ids of runs nor the blocks of large batches are taken apart by Parquet, id by id."""
+    rows = spark.createDataFrame([("train", i, f"a b{i}") for i in range(30)], "split string, pos long, text string")
+    vocab = V.Vocabulary(V.build_vocab(rows), head=5)
+    plan = explained(B.text_blocks(B.row_batches(rows, None), vocab, 4, None))
+    assert "piece:binary" in plan and "array<int>" not in plan
+    assert "ids:binary" in explained(B.text_blocks(B.row_batches(rows, 10), vocab, 4, 10))
